@@ -20,16 +20,19 @@ REPLY = ["is_reply", "in_reply_to_id", "in_reply_to_username", "root_tweet_id"]
 
 def parsed_posts(bronze: DataFrame, named_day: bool = False) -> DataFrame:
     """Messages as columns. Text that is no JSON object gives a row of nulls, a field of the wrong
-    type is null on its own."""
+    type is null on its own.
+
+    Each message is parsed once: filters on the parsed columns cannot move below a generator, as
+    they would below a projection, where every one of them would parse the text again.
+    """
+    parsed = bronze.select(*TOPIC_COLUMNS, F.inline(F.array(F.from_json("raw_json", POST_SCHEMA))))
     fields = []
     for name in CORE + USER + REPLY + COUNTERS:
-        field = F.col(f"p.{RENAMED.get(name, name)}")
+        field = F.col(RENAMED.get(name, name))
         if name == "created_at":
             field = post.parse_created_at(field, named_day)
         fields.append(field.alias(name))
-    return bronze.select(*TOPIC_COLUMNS, F.from_json("raw_json", POST_SCHEMA).alias("p")).select(
-        *TOPIC_COLUMNS, *fields
-    )
+    return parsed.select(*TOPIC_COLUMNS, *fields)
 
 
 def enriched_posts(posts: DataFrame) -> DataFrame:

@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: message key of a post without a keyword.
 DEFAULT_KEY = "default"
 
 
-def topic_rows(posts: DataFrame, fields: list[str] | None = None) -> DataFrame:
-    """``key, value``: the keyword and the post as JSON, with nulls kept and text unescaped."""
-    record = F.struct(*(fields or posts.columns))
+def message_key(keyword: Column) -> Column:
+    return F.coalesce(keyword, F.lit(DEFAULT_KEY))
+
+
+def message_value(fields: Sequence[str]) -> Column:
+    """The fields as a JSON object, with nulls kept and text unescaped."""
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+
+
+def topic_rows(posts: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
+    """``key, value``: the keyword and the post as JSON."""
     return posts.select(
-        F.coalesce("keyword", F.lit(DEFAULT_KEY)).alias("key"),
-        F.to_json(record, {"ignoreNullFields": "false"}).alias("value"),
+        message_key(F.col("keyword")).alias("key"), message_value(fields or posts.columns).alias("value")
     )
 
 
