@@ -23,7 +23,9 @@ def _list(words: list[str]) -> str:
 
 # Message fields of every event, before faults of the JSON text.
 FIELDS = f"""
-fields AS (
+numbered AS (
+  SELECT *, event_id % (SELECT count(*) FROM documents) AS doc_id FROM events
+), fields AS (
   SELECT e.event_id, e.ts,
     CASE WHEN e.event_id % 97 = 1 THEN 'retweet' WHEN e.event_id % 4 = 0 THEN 'tweet' ELSE 'reply' END AS type,
     CASE WHEN e.event_id % 89 <> 5 THEN CAST(e.event_id AS VARCHAR) END AS id,
@@ -53,7 +55,7 @@ fields AS (
     CAST(e.event_id % 3 AS INTEGER) AS quote_count,
     CAST(e.event_id % 1000 AS INTEGER) AS view_count,
     CAST(e.event_id % 7 AS INTEGER) AS bookmark_count
-  FROM events e JOIN documents d ON d.doc_id = e.event_id % (SELECT count(*) FROM documents)
+  FROM numbered e JOIN documents d ON d.doc_id = e.doc_id
 )"""
 
 SILVER = f"""{FIELDS}, silver AS (
