@@ -30,7 +30,7 @@ def score_rows(df: DataFrame, scorer: RowScorer, text: str, label: str) -> DataF
         except Exception:
             return None
 
-    return df.withColumn(label, F.udf(call, "string")(text))
+    return df.withColumn(label, F.udf(call, "string", useArrow=True)(text))
 
 
 def score_batches(df: DataFrame, make_scorer: Callable[[], BatchScorer], text: str, label: str) -> DataFrame:

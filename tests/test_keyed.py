@@ -1,0 +1,60 @@
+from __future__ import annotations
+
+from postloom.operators import keyed
+from pyspark.sql import functions as F
+
+SCHEMA = "id int, name string, seq int"
+
+
+def table(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_insert_and_upsert_with_repeated_keys(spark):
+    base = table(spark, [(1, "a", 0), (2, "b", 0)])
+    batch = table(spark, [(2, "x", 1), (3, "first", 1), (3, "second", 2)])
+    assert rows(keyed.insert_if_absent(base, batch, "id", [F.asc("seq")])) == [(1, "a", 0), (2, "b", 0), (3, "first", 1)]
+    assert rows(keyed.upsert(base, batch, "id", [F.desc("seq")])) == [(1, "a", 0), (2, "x", 1), (3, "second", 2)]
+
+
+def test_partial_update_takes_the_last_value_per_column(spark):
+    base = spark.createDataFrame([(1, "a", 10), (2, "b", 20)], "id int, name string, price int")
+    batch = spark.createDataFrame(
+        [(1, 1, "x", None), (2, 1, None, 11), (3, 1, None, 12), (4, 9, "new", 1)], "seq int, id int, name string, price int"
+    )
+    assert rows(keyed.partial_update(base, batch, "id", ["name", "price"], "seq")) == [(1, "x", 12), (2, "b", 20)]
+
+
+def test_reads(spark):
+    base = table(spark, [(i, n, 0) for i, n in enumerate("cabab")])
+    ids = spark.createDataFrame([(1,), (1,), (9,)], "id int")
+    assert rows(keyed.delete_by_id(base, ids, "id")) == [(0, "c", 0), (2, "b", 0), (3, "a", 0), (4, "b", 0)]
+    assert rows(keyed.multi_get(base, ids, "id")) == [(1, "a", 0)]
+    assert rows(keyed.exists(base, ids, "id")) == [(1, True), (1, True), (9, False)]
+    assert keyed.get(base, "id", 9).count() == 0
+    assert keyed.get(base, "id", 0, source_only=True).collect() == [("c", 0)]
+    by_name = [r.id for r in keyed.sorted_search(base, "id", [F.desc("name")]).collect()]
+    assert by_name == [0, 2, 4, 1, 3]
+    pages = [[r.id for r in keyed.paged_search(base, "id", 2, start, [F.desc("name")]).collect()] for start in (0, 2, 4, 6)]
+    assert pages == [[0, 2], [4, 1], [3], []]
+
+
+def test_multi_get_tables(spark):
+    people = spark.createDataFrame([("v", "Violet")], "id string, name string")
+    goods = spark.createDataFrame([("3", 5000)], "id string, price int")
+    wanted = spark.createDataFrame([("people", "v"), ("goods", "3"), ("goods", "v")], "_index string, id string")
+    found = keyed.multi_get_tables({"people": people, "goods": goods}, wanted)
+    assert found.columns == ["_index", "id", "name", "price"]
+    assert sorted(map(tuple, found.collect())) == [("goods", "3", None, 5000), ("people", "v", "Violet", None)]
+
+
+def test_explode_items_casts_text(spark):
+    orders = spark.createDataFrame(
+        [("1", [("1", "2000", "2"), ("2", "2000", "x")]), ("2", [])],
+        "id string, items array<struct<product_id:string,price:string,quantity:string>>",
+    )
+    assert rows(keyed.explode_items(orders)) == [("1", "1", 2000.0, 2.0, 4000.0), ("1", "2", 2000.0, None, None)]

@@ -1,0 +1,73 @@
+from __future__ import annotations
+
+import json
+
+from conftest import make_bronze
+from postloom.operators.quality import POST_DROP_RULES, POST_WARN_RULES, apply_rules, violations
+from postloom.plans.silver import parsed_posts, silver
+from postloom.schemas import SILVER_SCHEMA
+from pyspark.sql import Observation
+from pyspark.sql import types as T
+
+GOOD = {
+    "type": "tweet",
+    "id": "1",
+    "text": "hi #a @b",
+    "username": "u",
+    "keyword": "k",
+    "created_at": "2025-11-30T12:00:00Z",
+    "like_count": 2147483647,
+    "retweet_count": 2147483647,
+}
+SMOKE = {"keyword": "test", "text": "Test message", "timestamp": "2025-11-30"}
+
+
+def test_contract(spark):
+    assert [(f.name, f.dataType) for f in silver(make_bronze(spark, [])).schema] == [
+        (f.name, f.dataType) for f in T.StructType.fromDDL(SILVER_SCHEMA)
+    ]
+
+
+def test_large_counters_do_not_overflow(spark):
+    row = silver(make_bronze(spark, [json.dumps(GOOD)])).first()
+    assert row.total_engagement == 2 * 2147483647
+    assert (row.created_hour, row.created_day_of_week, str(row.created_date)) == (12, 1, "2025-11-30")
+    assert (row.hashtags, row.mentions, row.hashtag_count, row.mention_count) == (["a"], ["b"], 1, 1)
+    assert (row.has_hashtag, row.has_mention, row.has_url) == (True, True, False)
+
+
+def test_bad_fields_only_lose_themselves(spark):
+    odd = {**GOOD, "id": 7, "view_count": 3000000000, "like_count": "5", "quote_count": 5.0}
+    row = silver(make_bronze(spark, [json.dumps(odd)])).first()
+    assert (row.tweet_id, row.view_count, row.like_count, row.quote_count) == ("7", None, None, None)
+
+
+def test_broken_messages_are_rows_of_nulls(spark):
+    parsed = parsed_posts(make_bronze(spark, ["not json", None, "[1]", "{}"])).collect()
+    assert len(parsed) == 4
+    assert all(row.tweet_id is None and row.text is None for row in parsed)
+
+
+def test_rules(spark):
+    cases = [
+        GOOD,
+        {**GOOD, "type": "x"},
+        {**GOOD, "text": ""},
+        {**GOOD, "type": None},
+        {**GOOD, "created_at": "never"},
+        SMOKE,
+    ]
+    bronze = make_bronze(spark, [json.dumps(c) for c in cases])
+    kept = silver(bronze)
+    assert kept.count() == 2
+    counted = {r.rule: r.violations for r in violations(parsed_posts(bronze), POST_DROP_RULES, POST_WARN_RULES).collect()}
+    assert counted == {"valid_id": 1, "valid_text": 1, "valid_username": 1, "valid_type": 3, "valid_date": 2}
+
+    seen = Observation("seen")
+    apply_rules(parsed_posts(bronze), POST_DROP_RULES, POST_WARN_RULES, seen).collect()
+    assert seen.get == {**counted, "rows_in": 6, "rows_out": 2}
+
+
+def test_messages_are_parsed_once(spark):
+    plan = silver(make_bronze(spark, ["{}"]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
