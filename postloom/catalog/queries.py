@@ -106,14 +106,17 @@ def gold_query(name: str, function: Callable[[DataFrame], DataFrame]) -> Query:
 
 def repeated_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver after a second crawl that met every post again with one like more."""
-    first = silver_posts(spark, sf_dir)
-    again = first.withColumns(
-        {
-            "kafka_timestamp": F.col("kafka_timestamp") + F.expr("INTERVAL 40 DAYS"),
-            "like_count": (F.col("like_count") + 1).cast("int"),
-        }
+    crawls = F.explode(F.array(F.lit(0), F.lit(1))).alias("_crawl")
+    return (
+        silver_posts(spark, sf_dir)
+        .select("*", crawls)
+        .withColumns(
+            {
+                "kafka_timestamp": F.col("kafka_timestamp") + F.col("_crawl") * F.expr("INTERVAL 40 DAYS"),
+                "like_count": F.col("like_count") + F.col("_crawl"),
+            }
+        )
     )
-    return first.unionByName(again)
 
 
 def dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:

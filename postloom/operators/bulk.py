@@ -60,16 +60,24 @@ def _judged(
 def bulk_rejects(
     base: DataFrame, actions: DataFrame, key: str, seq: str = "seq", block: int = BLOCK
 ) -> DataFrame:
-    """Actions that were not applied: ``seq, op, key, reason``."""
+    """Actions that were not applied: ``seq, op, key, reason``.
+
+    create of a key that exists, update or delete of one that does not, an unknown action name, or
+    an action without a key.
+    """
+    keyless = actions.filter(F.col(key).isNull()).select(
+        F.col(seq).cast("bigint").alias(seq), "op", key, F.lit("no key").alias("reason")
+    )
     judged = _judged(base, actions, key, [], seq, block)
     reason = (
         F.when(F.col("_op") == "create", "exists")
         .when(F.col("_op").isin("update", "delete"), "missing")
         .otherwise("unknown action")
     )
-    return judged.filter(~F.col("_valid")).select(
+    refused = judged.filter(~F.col("_valid")).select(
         F.col("_seq").alias(seq), F.col("_op").alias("op"), key, reason.alias("reason")
     )
+    return refused.unionByName(keyless)
 
 
 def apply_bulk(

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -30,3 +30,22 @@ def write_table(
     writer = spread.write.mode(mode).partitionBy(*partition_by).option("partitionOverwriteMode", overwrite)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def register_table(
+    spark: SparkSession, name: str, path: str, comment: str, properties: Mapping[str, str] | None = None
+) -> None:
+    """Give a stored table a catalog name, a comment and properties such as ``quality``.
+
+    ``name`` may have one to three parts. Partition folders are found on registering; call it again
+    after new ones were written.
+    """
+    listed = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in {**(properties or {}), "comment": comment}.items())
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION {_quoted(path)}")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({listed})")
+    if spark.sql(f"DESCRIBE TABLE {name}").filter("col_name = '# Partition Information'").take(1):
+        spark.sql(f"MSCK REPAIR TABLE {name}")

@@ -27,11 +27,22 @@ def bronze_stream(topic: DataFrame, path: str, checkpoint: str, available_now: b
 
 
 def silver_stream(
-    bronze_rows: DataFrame, path: str, checkpoint: str, available_now: bool = False
+    bronze_rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    available_now: bool = False,
+    files_per_day: int | None = None,
 ) -> StreamingQuery:
     """Append checked posts to the silver table, one folder per day. Violation counts of each
-    micro-batch are in the query's progress under ``post_rules``."""
+    micro-batch are in the query's progress under ``post_rules``.
+
+    Without ``files_per_day`` there is no shuffle, and every task writes a file for every day it
+    holds: right for live data of few days. A backfill of many days sets it; then a micro-batch
+    adds at most that many files to a day, and a hot day is still spread over as many tasks.
+    """
     posts = silver(bronze_rows, observe=RULE_METRICS)
+    if files_per_day:
+        posts = posts.repartition(F.col("created_date"), F.pmod(F.xxhash64("kafka_offset"), F.lit(files_per_day)))
     writer = (
         posts.writeStream.format("parquet").outputMode("append").partitionBy("created_date").option("path", path)
     )

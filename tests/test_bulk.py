@@ -80,7 +80,10 @@ def test_equals_step_by_step(spark, seed):
 
 
 def test_unknown_action_and_repeated_seq(spark):
-    actions = spark.createDataFrame([(1, "drop", "a", None, None), (1, "index", "b", "B", 1)], ACTION)
-    reject = bulk_rejects(spark.createDataFrame([], ROW), actions, "id").first()
-    assert (reject.op, reject.reason) == ("drop", "unknown action")
+    rows = [(1, "drop", "a", None, None), (1, "index", "b", "B", 1), (2, "index", None, "N", 1)]
+    actions = spark.createDataFrame(rows, ACTION)
+    base = spark.createDataFrame([("z", "Z", 1)], ROW)
+    rejects = bulk_rejects(base, actions, "id").collect()
+    assert sorted((r.op, r.reason) for r in rejects) == [("drop", "unknown action"), ("index", "no key")]
+    assert sorted(r.id for r in apply_bulk(base, actions, "id", ["name", "price"]).collect()) == ["b", "z"]
     assert [r.seq for r in repeated_seq(actions).collect()] == [1]
