@@ -74,13 +74,13 @@ def reply_stats(posts: DataFrame) -> DataFrame:
     )
 
 
-def top_users(posts: DataFrame, limit: int = TOP_USERS) -> DataFrame:
-    """The users with most engagement per keyword.
+USER = ["keyword", "username", "user_name", "user_id"]
+USER_SUMS = ["total_likes", "total_retweets", "total_replies_received", "total_engagement"]
+POST_COUNTS = ["post_count", "tweet_count", "reply_count"]
+
 
-    Ties are broken by the user's names, so ranks do not depend on the run. Up to 1000 ranks
-    Catalyst cuts every map task's users to ``limit`` per keyword before the ranking shuffle.
-    """
-    users = posts.groupBy("keyword", "username", "user_name", "user_id").agg(
+def _user_figures(posts: DataFrame, *keys: str) -> DataFrame:
+    return posts.groupBy(*keys, *USER).agg(
         F.count("*").alias("post_count"),
         _type_count("tweet").alias("tweet_count"),
         _type_count("reply").alias("reply_posts"),
@@ -88,17 +88,40 @@ def top_users(posts: DataFrame, limit: int = TOP_USERS) -> DataFrame:
         F.sum("retweet_count").alias("total_retweets"),
         F.sum("reply_count").alias("total_replies_received"),
         F.sum("total_engagement").alias("total_engagement"),
-        F.avg("total_engagement").alias("avg_engagement_per_post"),
         F.max("created_at").alias("last_post_time"),
-    )
+    ).withColumnRenamed("reply_posts", "reply_count")
+
+
+def _ranked_users(users: DataFrame, limit: int) -> DataFrame:
+    """Ties are broken by the user's names, so ranks do not depend on the run. Up to 1000 ranks
+    Catalyst cuts every task's users to ``limit`` per keyword before the ranking shuffle."""
     ranking = Window.partitionBy("keyword").orderBy(F.desc("total_engagement"), "username", "user_id", "user_name")
     return (
-        users.withColumnRenamed("reply_posts", "reply_count")
+        users.withColumn("avg_engagement_per_post", F.col("total_engagement") / F.col("post_count"))
+        .select(*USER, *POST_COUNTS, *USER_SUMS, "avg_engagement_per_post", "last_post_time")
         .withColumn("user_rank", F.row_number().over(ranking))
         .filter(F.col("user_rank") <= limit)
     )
 
 
+def top_users(posts: DataFrame, limit: int = TOP_USERS) -> DataFrame:
+    """The users with most engagement per keyword."""
+    return _ranked_users(_user_figures(posts), limit)
+
+
+def user_days(posts: DataFrame) -> DataFrame:
+    """Daily figures of every user: what the ranking is refreshed from."""
+    return _user_figures(posts, "created_date")
+
+
+def top_users_of_days(days: DataFrame, limit: int = TOP_USERS) -> DataFrame:
+    """:func:`top_users` from :func:`user_days`."""
+    users = days.groupBy(*USER).agg(
+        *[F.sum(c).alias(c) for c in [*POST_COUNTS, *USER_SUMS]], F.max("last_post_time").alias("last_post_time")
+    )
+    return _ranked_users(users, limit)
+
+
 def replies_per_root(posts: DataFrame) -> DataFrame:
     """Reply figures of every root post: ``tweet_id`` is the root's id."""
     return (
@@ -157,11 +180,34 @@ def trending_hashtags(posts: DataFrame, min_uses: int = MIN_HASHTAG_USES) -> Dat
     )
 
 
-def hourly_activity(posts: DataFrame) -> DataFrame:
-    """Posts by weekday and hour per keyword."""
-    return posts.groupBy("keyword", "created_hour", "created_day_of_week").agg(
+HOUR = ["keyword", "created_hour", "created_day_of_week"]
+HOUR_COUNTS = ["total_posts", "tweet_count", "reply_count"]
+
+
+def _hour_figures(posts: DataFrame, *keys: str) -> DataFrame:
+    return posts.groupBy(*keys, *HOUR).agg(
         F.count("*").alias("total_posts"),
         _type_count("tweet").alias("tweet_count"),
         _type_count("reply").alias("reply_count"),
-        F.avg("total_engagement").alias("avg_engagement"),
+        F.sum("total_engagement").alias("engagement"),
     )
+
+
+def _with_average(hours: DataFrame) -> DataFrame:
+    average = (F.col("engagement") / F.col("total_posts")).alias("avg_engagement")
+    return hours.select(*HOUR, *HOUR_COUNTS, average)
+
+
+def hourly_activity(posts: DataFrame) -> DataFrame:
+    """Posts by weekday and hour per keyword."""
+    return _with_average(_hour_figures(posts))
+
+
+def hour_days(posts: DataFrame) -> DataFrame:
+    """Hourly figures of every day: what the activity pattern is refreshed from."""
+    return _hour_figures(posts, "created_date")
+
+
+def hourly_activity_of_days(days: DataFrame) -> DataFrame:
+    """:func:`hourly_activity` from :func:`hour_days`."""
+    return _with_average(days.groupBy(*HOUR).agg(*[F.sum(c).alias(c) for c in [*HOUR_COUNTS, "engagement"]]))

@@ -23,8 +23,15 @@ BY_DAY = {
     "tweet_stats": gold.tweet_stats,
     "reply_stats": gold.reply_stats,
     "trending_hashtags": gold.trending_hashtags,
+    "user_days": gold.user_days,
+    "hour_days": gold.hour_days,
 }
-BY_KEYWORD = {"top_users": gold.top_users, "hourly_activity": gold.hourly_activity}
+# Tables that span all days are put together from daily figures, never from all posts again.
+BY_KEYWORD = {
+    "top_users": (gold.top_users_of_days, "user_days"),
+    "hourly_activity": (gold.hourly_activity_of_days, "hour_days"),
+}
+THREADS = "conversation_threads"
 
 
 def _touched(batch: DataFrame, column: str) -> Column:
@@ -40,16 +47,20 @@ def _replace(name: str, table: DataFrame, base_dir: str) -> None:
     write_table(table, f"{base_dir}/{name}", partitions_of(name), only_given_partitions=True)
 
 
-def refresh_gold(batch: DataFrame, silver_path: str, base_dir: str) -> None:
+def refresh_gold(batch: DataFrame, silver_path: str, base_dir: str, threads: bool = True) -> None:
     """Recompute what the silver rows of ``batch`` (already stored) touch."""
-    posts = read_table(batch.sparkSession, silver_path)
+    spark = batch.sparkSession
+    posts = read_table(spark, silver_path)
     of_days = posts.filter(_touched(batch, "created_date"))
-    for name, function in BY_DAY.items():
-        _replace(name, function(of_days), base_dir)
-    of_keywords = posts.filter(_touched(batch, "keyword"))
-    for name, function in BY_KEYWORD.items():
-        _replace(name, function(of_keywords), base_dir)
-    _replace("conversation_threads", _touched_threads(batch, posts), base_dir)
+    days = {name: function(of_days) for name, function in BY_DAY.items()}
+    for name, table in days.items():
+        _replace(name, table, base_dir)
+    keywords = _touched(batch, "keyword")
+    for name, (function, source) in BY_KEYWORD.items():
+        stored = spark.read.schema(days[source].schema).parquet(f"{base_dir}/{source}")
+        _replace(name, function(stored.filter(keywords)), base_dir)
+    if threads:
+        _replace(THREADS, _touched_threads(batch, posts), base_dir)
 
 
 def _touched_threads(batch: DataFrame, posts: DataFrame) -> DataFrame:
@@ -63,12 +74,38 @@ def _touched_threads(batch: DataFrame, posts: DataFrame) -> DataFrame:
 
 
 def gold_refresh_stream(
-    silver_rows: DataFrame, silver_path: str, base_dir: str, checkpoint: str, available_now: bool = False
+    silver_rows: DataFrame,
+    silver_path: str,
+    base_dir: str,
+    checkpoint: str,
+    available_now: bool = False,
+    threads: bool = True,
 ) -> StreamingQuery:
-    """Refresh the tables after every micro-batch of the stored silver stream."""
+    """Refresh the tables after every micro-batch of the stored silver stream.
+
+    Replies may answer a post of any day, so the threads read the reply columns of all silver.
+    ``threads=False`` leaves them to :func:`threads_refresh_stream` with larger batches.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        refresh_gold(batch, silver_path, base_dir)
+        refresh_gold(batch, silver_path, base_dir, threads)
 
     writer = silver_rows.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def threads_refresh_stream(
+    silver_rows: DataFrame,
+    silver_path: str,
+    base_dir: str,
+    checkpoint: str,
+    available_now: bool = False,
+    every: str = "1 hour",
+) -> StreamingQuery:
+    """Refresh the touched threads alone, at its own pace."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        _replace(THREADS, _touched_threads(batch, read_table(batch.sparkSession, silver_path)), base_dir)
+
+    writer = silver_rows.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)).start()

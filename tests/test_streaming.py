@@ -19,7 +19,7 @@ from postloom.streaming.ingest import (
     keyed_store_stream,
     silver_stream,
 )
-from postloom.streaming.refresh import gold_refresh_stream
+from postloom.streaming.refresh import gold_refresh_stream, threads_refresh_stream
 from pyspark.sql import functions as F
 
 
@@ -89,7 +89,8 @@ def test_gold_follows_silver(spark, tmp_path):
         rows = read_table_stream(spark, str(tmp_path / "bronze"), BRONZE_SCHEMA)
         finish(silver_stream(rows, silver_path, str(tmp_path / "_s"), available_now=True))
         stored = read_table_stream(spark, silver_path, SILVER_SCHEMA)
-        finish(gold_refresh_stream(stored, silver_path, base, str(tmp_path / "_g"), available_now=True))
+        finish(gold_refresh_stream(stored, silver_path, base, str(tmp_path / "_g"), available_now=True, threads=False))
+        finish(threads_refresh_stream(stored, silver_path, base, str(tmp_path / "_t"), available_now=True))
         posts = spark.read.schema(SILVER_SCHEMA).parquet(silver_path)
         for name, (function, _) in gold_tables().items():
             expected = function(posts)
@@ -98,6 +99,11 @@ def test_gold_follows_silver(spark, tmp_path):
     assert threads == {"1": 1, "2": 1, "4": 1, "5": 0}
 
 
+def test_daily_figures_add_up(posts):
+    same_rows(gold.top_users_of_days(gold.user_days(posts)), gold.top_users(posts))
+    same_rows(gold.hourly_activity_of_days(gold.hour_days(posts)), gold.hourly_activity(posts))
+
+
 def test_audited_stream(spark, tmp_path):
     texts = [post(1), post(2, type="x"), "not json", post(3, text="")]
     bronze_of(spark, texts).coalesce(1).write.parquet(str(tmp_path / "bronze"))
