@@ -18,6 +18,7 @@ def spark():
 
     session = build_session("tests", cpus=8, memory="6g")
     session.sparkContext.setLogLevel("ERROR")
+    session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
     session.stop()
 
