@@ -317,16 +317,21 @@ def sorted_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def explode_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as documents whose items are parcels of at most ten units."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("id"),
+        F.col("l_partkey").cast("string").alias("product"),
+        F.col("l_extendedprice").cast("string").alias("price"),
+        F.col("l_quantity").cast("int").alias("units"),
+    )
     parcels = F.transform(
-        F.sequence(F.lit(0), F.ceil(F.col("l_quantity") / 10).cast("int") - 1),
+        F.sequence(F.lit(0), F.ceil(F.col("units") / 10).cast("int") - 1),
         lambda i: F.struct(
-            F.col("l_partkey").cast("string").alias("product_id"),
-            F.col("l_extendedprice").cast("string").alias("price"),
-            F.least(F.lit(10.0), F.col("l_quantity") - i * 10).cast("string").alias("quantity"),
+            F.col("product").alias("product_id"),
+            F.col("price").alias("price"),
+            F.least(F.lit(10), F.col("units") - i * 10).cast("string").alias("quantity"),
         ),
     )
-    orders = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), parcels.alias("items"))
-    return keyed.explode_items(orders)
+    return keyed.explode_items(lines.select("id", parcels.alias("items")))
 
 
 # --- streams ----------------------------------------------------------------------------------
@@ -336,7 +341,7 @@ def _run_ingest(spark: SparkSession, sf_dir: str) -> str:
     """Messages through the bronze and silver streams; returns the folder of the tables."""
     base = shared_dir(spark, "ingest")
     messages(spark, sf_dir).write.parquet(f"{base}/topic")
-    topic = read_stored_topic(spark, f"{base}/topic", files_per_trigger=4)
+    topic = read_stored_topic(spark, f"{base}/topic")
     bronze_stream(topic, f"{base}/bronze", f"{base}/_bronze", available_now=True).awaitTermination()
     rows = read_table_stream(spark, f"{base}/bronze", BRONZE_SCHEMA)
     silver_stream(rows, f"{base}/silver", f"{base}/_silver", available_now=True).awaitTermination()

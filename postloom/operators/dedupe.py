@@ -2,27 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postloom.operators.joins import lookup_join
+from postloom.operators.ranking import latest_per_key
 
 # Fixed value: replies a post needs before its replies are fetched.
 REPLY_THRESHOLD = 10
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:
-    """The first row of each key in the given order.
-
-    ``rank = 1`` is cut inside every map task before the shuffle, so a key that holds a third of
-    all rows sends one row per task.
-    """
-    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first)))
-    return ranked.filter(F.col("_rank") == 1).drop("_rank")
-
-
 def dedupe_posts(posts: DataFrame, id_column: str = "tweet_id") -> DataFrame:
     """One row per keyword and id, the last to arrive; rows without an id are dropped."""
     with_id = posts.filter(F.col(id_column) != "")

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.operators.dedupe import latest_per_key
+from postloom.operators.ranking import latest_per_key
 
 
 def absent_rows(base: DataFrame, batch: DataFrame, key: str, first: Sequence[Column]) -> DataFrame:

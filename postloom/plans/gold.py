@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postloom.operators.joins import lookup_join
+from postloom.operators.ranking import top_per_group
 
 # List length and threshold of the reports.
 TOP_USERS = 50
@@ -93,15 +94,11 @@ def _user_figures(posts: DataFrame, *keys: str) -> DataFrame:
 
 
 def _ranked_users(users: DataFrame, limit: int) -> DataFrame:
-    """Ties are broken by the user's names, so ranks do not depend on the run. Up to 1000 ranks
-    Catalyst cuts every task's users to ``limit`` per keyword before the ranking shuffle."""
-    ranking = Window.partitionBy("keyword").orderBy(F.desc("total_engagement"), "username", "user_id", "user_name")
-    return (
-        users.withColumn("avg_engagement_per_post", F.col("total_engagement") / F.col("post_count"))
-        .select(*USER, *POST_COUNTS, *USER_SUMS, "avg_engagement_per_post", "last_post_time")
-        .withColumn("user_rank", F.row_number().over(ranking))
-        .filter(F.col("user_rank") <= limit)
-    )
+    """Ties are broken by the user's names, so ranks do not depend on the run."""
+    average = (F.col("total_engagement") / F.col("post_count")).alias("avg_engagement_per_post")
+    figures = users.select(*USER, *POST_COUNTS, *USER_SUMS, average, "last_post_time")
+    order = [F.desc("total_engagement"), F.asc("username"), F.asc("user_id"), F.asc("user_name")]
+    return top_per_group(figures, ["keyword"], order, limit, spread=USER, rank="user_rank")
 
 
 def top_users(posts: DataFrame, limit: int = TOP_USERS) -> DataFrame:
