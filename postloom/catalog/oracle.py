@@ -255,7 +255,8 @@ QUALIFY row_number() OVER (PARTITION BY keyword, tweet_id ORDER BY kafka_timesta
 WORKLIST = f"""WITH {SILVER}
 SELECT keyword, tweet_id, reply_count FROM silver t
 WHERE type = 'tweet' AND coalesce(reply_count, 0) >= {WORKLIST_THRESHOLD}
-  AND NOT EXISTS (SELECT 1 FROM silver r WHERE r.type = 'reply' AND r.root_tweet_id = t.tweet_id)"""
+  AND NOT EXISTS (SELECT 1 FROM silver r WHERE r.type = 'reply' AND r.root_tweet_id = t.tweet_id
+    AND r.keyword = t.keyword)"""
 
 ORPHANS = f"""WITH {SILVER}
 SELECT keyword, tweet_id, root_tweet_id, username FROM silver r

@@ -125,10 +125,10 @@ def dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hot_posts_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Posts with replies to fetch; a post is fetched once one of its replies is known."""
+    """Posts with replies to fetch; a post is fetched once one of its replies is known under its keyword."""
     posts = silver_posts(spark, sf_dir)
     fetched = posts.filter("type = 'reply' AND root_tweet_id IS NOT NULL").select(
-        F.col("root_tweet_id").alias("tweet_id")
+        "keyword", F.col("root_tweet_id").alias("tweet_id")
     )
     return dedupe.reply_worklist(posts, fetched, WORKLIST_THRESHOLD).select("keyword", "tweet_id", "reply_count")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,19 +30,20 @@ def dedupe_posts_stream(
     return with_id.withWatermark(event_time, within).dropDuplicatesWithinWatermark(["keyword", id_column])
 
 
-def not_yet_fetched(candidates: DataFrame, fetched: DataFrame, key: str = "tweet_id") -> DataFrame:
-    """Candidates whose key is not in ``fetched``."""
-    return lookup_join(candidates, fetched.select(key).distinct(), key, "left_anti")
+def not_yet_fetched(candidates: DataFrame, fetched: DataFrame, keys: Sequence[str] = ("tweet_id",)) -> DataFrame:
+    """Candidates whose keys are not in ``fetched``."""
+    return lookup_join(candidates, fetched.select(*keys).distinct(), keys, "left_anti")
 
 
 def reply_worklist(posts: DataFrame, fetched: DataFrame, threshold: int = REPLY_THRESHOLD) -> DataFrame:
-    """Posts with at least ``threshold`` replies (null counts as 0) whose replies were not fetched."""
+    """Posts with at least ``threshold`` replies (null counts as 0) whose replies were not fetched for
+    their keyword yet."""
     hot = posts.filter((F.col("type") == "tweet") & (F.coalesce("reply_count", F.lit(0)) >= threshold))
-    return not_yet_fetched(hot, fetched)
+    return not_yet_fetched(hot, fetched, ["keyword", "tweet_id"])
 
 
 def orphan_replies(posts: DataFrame) -> DataFrame:
     """Replies no thread counts: their root post is not among the posts, or they name none."""
     replies = posts.filter(F.col("type") == "reply")
     roots = posts.filter(F.col("type") == "tweet").select(F.col("tweet_id").alias("root_tweet_id"))
-    return not_yet_fetched(replies, roots, key="root_tweet_id")
+    return not_yet_fetched(replies, roots, ["root_tweet_id"])

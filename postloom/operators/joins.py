@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def lookup_join(rows: DataFrame, looked_up: DataFrame, key: str, how: str) -> DataFrame:
-    """Join ``rows`` (keys may repeat without bound) to ``looked_up`` (one row per ``key``).
+def lookup_join(rows: DataFrame, looked_up: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join ``rows`` (keys may repeat without bound) to ``looked_up`` (one row per key).
 
-    The output of an aggregate is already partitioned by its key, and adaptive execution splits a
+    The output of an aggregate is already partitioned by its keys, and adaptive execution splits a
     hot key only where both join sides come straight out of an exchange made for that join. The
     second, derived key makes Spark exchange the narrow aggregated side once more, and so lets it
     split the rows of a hot key over many tasks. A small ``looked_up`` still becomes a broadcast
     at run time, by its measured size.
     """
-    shard = F.xxhash64(key)
+    shard = F.xxhash64(*keys)
     joined = rows.withColumn("_shard", shard).join(
-        looked_up.withColumn("_shard", shard), [key, "_shard"], how
+        looked_up.withColumn("_shard", shard), [*keys, "_shard"], how
     )
     return joined.drop("_shard")

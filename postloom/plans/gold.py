@@ -154,7 +154,7 @@ def threads_of(tweets: DataFrame, replies: DataFrame) -> DataFrame:
     )
     zero = F.lit(0).cast("bigint")
     from_replies = F.coalesce("replies_total_engagement", zero)
-    return lookup_join(own, replies, "tweet_id", "left").select(
+    return lookup_join(own, replies, ["tweet_id"], "left").select(
         *own.columns,
         F.coalesce("direct_reply_count", zero).alias("actual_reply_count"),
         F.coalesce("unique_repliers", zero).alias("unique_repliers"),
