@@ -76,10 +76,12 @@ def score_model(
 def lexicon_row_scorer(lexicon: Mapping[str, int]) -> RowScorer:
     """The lexicon as a row scorer. It quotes its labels, as JSON services do."""
     weights = dict(lexicon)
+    # Local names only: executors run this without a copy of the package.
+    positive, neutral, negative = sentiment.POSITIVE, sentiment.NEUTRAL, sentiment.NEGATIVE
 
     def score(text: str) -> str:
         total = sum(weights.get(word, 0) for word in text.split(" "))
-        name = sentiment.POSITIVE if total > 0 else sentiment.NEGATIVE if total < 0 else sentiment.NEUTRAL
+        name = positive if total > 0 else negative if total < 0 else neutral
         return f'"{name}"'
 
     return score
@@ -87,10 +89,9 @@ def lexicon_row_scorer(lexicon: Mapping[str, int]) -> RowScorer:
 
 def lexicon_batch_scorer(lexicon: Mapping[str, int]) -> Callable[[], BatchScorer]:
     """The lexicon as a factory of batch scorers."""
-    weights = dict(lexicon)
+    score = lexicon_row_scorer(lexicon)
 
     def make() -> BatchScorer:
-        row = lexicon_row_scorer(weights)
-        return lambda texts: [row(text).strip('"') for text in texts]
+        return lambda texts: [score(text).strip('"') for text in texts]
 
     return make

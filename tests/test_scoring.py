@@ -1,5 +1,10 @@
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 from postloom.operators import scoring
 from postloom.plans.nlp import nlp_preprocessed
 from postloom.plans.sentiment import predictions_by_row, sentiment_analytics
@@ -71,6 +76,27 @@ def test_fitted_model(spark):
     assert labels(scored) == ["positive", "negative", None]
 
 
+SCRIPT = """
+import sys
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+sys.path.insert(0, sys.argv[1])
+import __spark_entry__ as entry
+for name in ("predictions_row_udf", "predictions_batch_udf"):
+    print(name, entry.queries()[name](spark, sys.argv[2]).filter("sentiment IS NOT NULL").count() > 0)
+"""
+
+
+def test_executors_need_no_copy_of_the_package(sf_dir, tmp_path):
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run(
+        [sys.executable, "-c", SCRIPT, str(Path(__file__).resolve().parents[1]), sf_dir],
+        cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300, check=False,
+    )
+    assert "predictions_row_udf True" in run.stdout, run.stderr[-2000:]
+    assert "predictions_batch_udf True" in run.stdout, run.stderr[-2000:]
+
+
 def test_null_labels_are_a_group_or_left_out(spark, posts):
     nlp = nlp_preprocessed(posts, ["the"])
     predicted = predictions_by_row(nlp, scoring.lexicon_row_scorer(LEXICON))
