@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import simhash
+from postloom.llm import bpe, repeats, simhash
 from postloom.llm.tables import read
 from postloom.session import prepare
 
@@ -23,8 +23,28 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoded = bpe.encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return encoded.select(
+        F.col("id").alias("doc_id"),
+        "n_tokens",
+        "ids_sha256",
+        F.sha2(bpe.decode(F.col("ids"), ranks), 256).alias("decoded_sha256"),
+    )
+
+
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(read(spark, sf_dir, "documents"), min_bytes=200, keep_first=False)
+    return cut.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
+    "op6_bpe": op6_bpe,
+    "op10_repeats": op10_repeats,
 }
 
 SQL: dict[str, str] = {}

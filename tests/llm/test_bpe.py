@@ -1,0 +1,59 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import sys
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+import tiktoken
+from postloom.llm import bpe
+from postloom.llm.queries import QUERIES
+from pyspark.sql import functions as F
+
+
+@pytest.fixture(scope="module")
+def ranks():
+    return bpe.read_ranks(P.path("byte_bpe_50k.tiktoken"))
+
+
+@pytest.fixture(scope="module")
+def library(ranks):
+    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def expected(library, rows):
+    out = set()
+    for key, text in rows:
+        ids = library.encode_ordinary(text or "")
+        digest = hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest()
+        out.add((key, len(ids), digest, hashlib.sha256((text or "").encode()).hexdigest()))
+    return out
+
+
+def test_whole_table(spark, sf_dir, library):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    assert {tuple(r) for r in QUERIES["op6_bpe"](spark, sf_dir).collect()} == expected(library, rows)
+
+
+def test_edge_cases(spark, ranks, library, monkeypatch):
+    monkeypatch.setattr(bpe, "STRETCH_WORDS", 300)
+    rng = random.Random(3)
+    texts = [None, "", " ", "  \n\n x", "it's we'LL 'twas", "a" * 5000, "ab" * 64, "ab" * 65, "日本語 текст ١٢٣ ²½", "<|endoftext|>", "👩‍👩‍👧 é é"]
+    texts += ["".join(chr(c) for c in range(lo, lo + 200) if not 0xD800 <= c < 0xE000) for lo in range(0, 0x3200, 200)]
+    texts += ["".join(rng.choice("abcdefgh 's12\n.,#é") for _ in range(rng.randrange(300))) for _ in range(60)]
+    rows = list(enumerate(texts)) + [(3, texts[3])]
+    docs = spark.createDataFrame([(i, t, [1], "x") for i, t in rows], "doc_id long, text string, ids array<int>, n_tokens string")
+    got = bpe.encode(docs, ranks, P.PATTERN)
+    got = got.select("id", "n_tokens", "ids_sha256", F.sha2(bpe.decode(F.col("ids"), ranks), 256))
+    assert {tuple(r) for r in got.collect()} == expected(library, rows)
+    assert bpe.encode(docs.limit(0), ranks, P.PATTERN).collect() == []
+
+
+def test_long_words_merge_alike(ranks, library):
+    rng = random.Random(4)
+    for n in (2, 130, 700):
+        for letters in ("a", "ab", "etaoin", "thereinga"):
+            word = "".join(rng.choice(letters) for _ in range(n))
+            assert bpe.merge_long(word.encode(), ranks) == library.encode_ordinary(word)
