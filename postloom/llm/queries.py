@@ -7,13 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import bpe, repeats, simhash
-from postloom.llm.tables import read
+from postloom.llm import bpe, embeddings, language, quality, repeats, simhash
+from postloom.llm.tables import crc_remainder, read
 from postloom.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def quality_weights(spark: SparkSession, sf_dir: str) -> quality.Weights:
+    """Learnt from the labelled documents outside the held-out fifth."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return quality.fit(docs, labels.filter(crc_remainder(F.col("doc_id"), 5) != 0))
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score(read(spark, sf_dir, "documents"), quality_weights(spark, sf_dir))
+    return scored.select(
+        F.col("id").alias("doc_id"),
+        (crc_remainder(F.col("id"), 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"),
+        "passages",
+    )
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select(
@@ -23,6 +40,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embeddings.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.95)
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -36,14 +58,29 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = language.fit(docs.filter(crc_remainder(F.col("doc_id"), 4) != 2))
+    return language.predict(docs, model).select(
+        F.col("id").alias("doc_id"),
+        (crc_remainder(F.col("id"), 4) == 2).alias("held_out"),
+        F.col("language").alias("lang_pred"),
+        "score",
+        "ambiguous",
+    )
+
+
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = repeats.remove_repeats(read(spark, sf_dir, "documents"), min_bytes=200, keep_first=False)
     return cut.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
+    "op5_embeddings": op5_embeddings,
     "op6_bpe": op6_bpe,
+    "op9_language": op9_language,
     "op10_repeats": op10_repeats,
 }
 
