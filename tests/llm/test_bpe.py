@@ -2,11 +2,12 @@ from __future__ import annotations
 
 import hashlib
 import random
-import sys
+import re
 
 import numpy as np
 import public_tokenizers as P
 import pytest
+import regex
 import tiktoken
 from postloom.llm import bpe
 from postloom.llm.queries import QUERIES
@@ -45,12 +46,21 @@ def test_edge_cases(spark, ranks, library, monkeypatch):
     texts += ["".join(rng.choice("abcdefgh 's12\n.,#é") for _ in range(rng.randrange(300))) for _ in range(60)]
     rows = list(enumerate(texts)) + [(3, texts[3])]
     docs = spark.createDataFrame([(i, t, [1], "x") for i, t in rows], "doc_id long, text string, ids array<int>, n_tokens string")
-    got = bpe.encode(docs, ranks, P.PATTERN)
+    got = bpe.encode(docs, ranks, P.PATTERN, bpe.QUICK_PATTERN)
     got = got.select("id", "n_tokens", "ids_sha256", F.sha2(bpe.decode(F.col("ids"), ranks), 256))
     assert {tuple(r) for r in got.collect()} == expected(library, rows)
     assert bpe.encode(docs.limit(0), ranks, P.PATTERN).collect() == []
 
 
+def test_quick_pattern_says_the_same():
+    rng = random.Random(5)
+    letters = [chr(c) for c in range(0x250)]
+    full, quick = regex.compile(P.PATTERN).findall, re.compile(bpe.QUICK_PATTERN).findall
+    texts = [f"a{c}1{c}.{c} {c}{c} \n{c}'s {c}'S" for c in letters]
+    texts += ["".join(rng.choice(rng.choice((letters, "ab 1.'s\n"))) for _ in range(200)) for _ in range(500)]
+    assert all(full(t) == quick(t) for t in texts)
+
+
 def test_long_words_merge_alike(ranks, library):
     rng = random.Random(4)
     for n in (2, 130, 700):
