@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import bpe, embeddings, language, quality, repeats, simhash
+from postloom.llm import bpe, embeddings, language, leaks, quality, repeats, simhash
 from postloom.llm.tables import crc_remainder, read
 from postloom.session import prepare
 
@@ -58,6 +58,12 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document and benchmark item found in it; documents without any have no row."""
+    found = leaks.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = language.fit(docs.filter(crc_remainder(F.col("doc_id"), 4) != 2))
@@ -80,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op5_embeddings": op5_embeddings,
     "op6_bpe": op6_bpe,
+    "op8_leaks": op8_leaks,
     "op9_language": op9_language,
     "op10_repeats": op10_repeats,
 }
