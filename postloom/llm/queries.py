@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import bpe, embeddings, language, leaks, quality, repeats, simhash
+from postloom.llm import bpe, embeddings, language, leaks, pii, quality, repeats, simhash
 from postloom.llm.tables import crc_remainder, read
 from postloom.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Stands for the secret that a user passes; surrogates can't be linked across keys.
+SURROGATE_KEY = "example key"
+
 
 def quality_weights(spark: SparkSession, sf_dir: str) -> quality.Weights:
     """Learnt from the labelled documents outside the held-out fifth."""
@@ -40,6 +43,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace_entities(docs, SURROGATE_KEY).select("doc_id", "n_entities", F.array_join("entity_kinds", ",").alias("kinds"), "text")
+
+
 def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embeddings.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.95)
     return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
@@ -84,6 +92,7 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
+    "op3_pii": op3_pii,
     "op5_embeddings": op5_embeddings,
     "op6_bpe": op6_bpe,
     "op8_leaks": op8_leaks,
