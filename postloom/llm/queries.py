@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import bpe, embeddings, language, leaks, pii, quality, repeats, simhash
+from postloom.llm import bpe, embeddings, language, leaks, pii, quality, repeats, sharding, simhash
 from postloom.llm.tables import crc_remainder, read
 from postloom.session import prepare
 
@@ -66,6 +66,19 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_documents(read(spark, sf_dir, "documents"), shards=24)
+    return placed.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row per document and benchmark item found in it; documents without any have no row."""
     found = leaks.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -95,6 +108,7 @@ QUERIES: dict[str, Query] = {
     "op3_pii": op3_pii,
     "op5_embeddings": op5_embeddings,
     "op6_bpe": op6_bpe,
+    "op7_sharding": op7_sharding,
     "op8_leaks": op8_leaks,
     "op9_language": op9_language,
     "op10_repeats": op10_repeats,
