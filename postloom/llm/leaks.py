@@ -186,25 +186,34 @@ def search(batch: list[tuple[int, str]], index: Index, table: np.ndarray, up: np
         yield number, item, min(e for e, _, _ in hits.values()), start, stop, len(hits)
 
 
+def _batch_leaks(texts: pa.Array, index: Index, tables: tuple) -> list[tuple]:
+    """Leaks as from ``search``, numbered by the texts' places, a bounded number of characters at a time."""
+    held: list[tuple[int, str]] = []
+    size, numbers, out = 0, [], []
+    for number in range(len(texts) + 1):
+        if held and (number == len(texts) or size > BATCH_CHARS):
+            out += [(numbers[n], *rest) for n, *rest in search(held, index, *tables)]
+            held, size, numbers = [], 0, []
+        if number < len(texts) and (text := texts[number].as_py()):
+            held.append((number, text))
+            numbers.append(number)
+            size += len(text)
+    return out
+
+
+def _tables(index: Index) -> tuple:
+    seen = np.zeros(1 << BITS, dtype=bool)
+    seen[(index.grams >> np.uint64(64 - BITS)).astype(np.int64)] = True
+    return (folding(), *powers(1 << 20), seen)
+
+
 def _searched(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: Index = shared.value
-        table = folding()
-        up, down = powers(1 << 20)
-        seen = np.zeros(1 << BITS, dtype=bool)
-        seen[(index.grams >> np.uint64(64 - BITS)).astype(np.int64)] = True
+        tables = _tables(index)
         names = ["id", "item_id", "edits", "start", "stop", "pieces", "all_pieces"]
         for batch in batches:
-            held, size, numbers = [], 0, []
-            out: list[tuple] = []
-            for number in range(batch.num_rows + 1):
-                if held and (number == batch.num_rows or size > BATCH_CHARS):
-                    out += [(numbers[n], *rest) for n, *rest in search(held, index, table, up, down, seen)]
-                    held, size, numbers = [], 0, []
-                if number < batch.num_rows and (text := batch.column(1)[number].as_py()):
-                    held.append((number, text))
-                    numbers.append(number)
-                    size += len(text)
+            out = _batch_leaks(batch.column(1), index, tables)
             if out:
                 number, *columns = zip(*out, strict=True)
                 columns.append([index.totals[item] for item in columns[0]])
@@ -226,17 +235,41 @@ def find_leaks(
     letters, digits and gaps are nowhere; repeated rows repeat what they hold; an empty table on
     either side gives an empty result. A benchmark of any size is searched, a block at a time.
     """
-    spark = docs.sparkSession
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    items = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("bigint").alias("item_id"), "text")
-    chars = items.agg(F.sum(F.length("text"))).head()[0] or 0
-    blocks = 1 + chars // BLOCK_CHARS
     schema = f"id {kind}, item_id bigint, edits bigint, start bigint, stop bigint, pieces bigint, all_pieces bigint"
-    found = spark.createDataFrame([], schema)
+    found = docs.sparkSession.createDataFrame([], schema)
+    for shared in _indexes(benchmark, rate):
+        found = found.union(rows.mapInArrow(_searched(shared), schema))
+    return found
+
+
+def _indexes(benchmark: DataFrame, rate: float) -> Iterator:
+    """Broadcast indexes of the benchmark's blocks, each of about ``BLOCK_CHARS`` characters."""
+    spark = benchmark.sparkSession
+    items = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("bigint").alias("item_id"), "text")
+    blocks = 1 + (items.agg(F.sum(F.length("text"))).head()[0] or 0) // BLOCK_CHARS
     for block in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         index = build_index(sorted((r.item_id, r.text) for r in part.collect()), rate)
         if index.items:
-            found = found.union(rows.mapInArrow(_searched(spark.sparkContext.broadcast(index)), schema))
-    return found
+            yield spark.sparkContext.broadcast(index)
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE, text_column: str = "text") -> DataFrame:
+    """The rows, with all columns, in which ``find_leaks`` finds nothing."""
+
+    def clean(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index: Index = shared.value
+            tables = _tables(index)
+            for batch in batches:
+                keep = np.ones(batch.num_rows, dtype=bool)
+                keep[[number for number, *_ in _batch_leaks(batch.column(text_column), index, tables)]] = False
+                yield batch.filter(pa.array(keep))
+
+        return run
+
+    for shared in _indexes(benchmark, rate):
+        docs = docs.mapInArrow(clean(shared), docs.schema)
+    return docs

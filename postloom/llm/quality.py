@@ -146,6 +146,30 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Weigh
     return train([t for _, t, _ in rows], [q for _, _, q in rows])
 
 
+def bag_scores(texts: pa.ChunkedArray | pa.Array, w: Weights) -> tuple[np.ndarray, list[int]]:
+    """Score and number of passages of each text, a bounded number of passages at a time where texts allow."""
+    whole = w | {"encode": np.eye(WIDTH, dtype=np.float32)}
+
+    def of(bags: list[list[bytes]]) -> np.ndarray:
+        parts = [p for b in bags for p in b]
+        bag = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
+        # Of a long text only the codes of all passages are held together.
+        x = np.concatenate([features(parts[lo : lo + 1024]) @ w["encode"] for lo in range(0, len(parts), 1024)])
+        return forward(whole, x, bag)["score"]
+
+    scores, counts, held, size = [], [], [], 0
+    for text in texts:
+        held.append(passages(text.as_py()))
+        counts.append(len(held[-1]))
+        size += counts[-1]
+        if size >= 1024:
+            scores.append(of(held))
+            held, size = [], 0
+    if held:
+        scores.append(of(held))
+    return (np.concatenate(scores).astype(np.float64) if scores else np.zeros(0)), counts
+
+
 def score(docs: DataFrame, w: Weights, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``(id, score, passages)`` for every row, from all passages of its text.
 
@@ -154,27 +178,21 @@ def score(docs: DataFrame, w: Weights, id_column: str = "doc_id", text_column: s
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def bag_scores(bags: list[list[bytes]]) -> np.ndarray:
-            parts = [p for b in bags for p in b]
-            bag = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
-            # Features of a bounded number of passages at a time; only the codes of all are held.
-            x = np.concatenate([features(parts[lo : lo + 1024]) @ w["encode"] for lo in range(0, len(parts), 1024)])
-            return forward(w | {"encode": np.eye(WIDTH, dtype=np.float32)}, x, bag)["score"]
-
         for batch in batches:
-            scores, counts, held, size = [], [], [], 0
-            for text in batch.column(1):
-                held.append(passages(text.as_py()))
-                counts.append(len(held[-1]))
-                size += counts[-1]
-                if size >= 1024:
-                    scores.append(bag_scores(held))
-                    held, size = [], 0
-            if held:
-                scores.append(bag_scores(held))
-            found = np.concatenate(scores).astype(np.float64) if scores else np.zeros(0)
+            found, counts = bag_scores(batch.column(1), w)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found), pa.array(counts, pa.int64())], ["id", "score", "passages"])
 
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     return rows.mapInArrow(run, f"id {kind}, score double, passages bigint")
+
+
+def accepted(docs: DataFrame, w: Weights, least: float = ACCEPT, text_column: str = "text") -> DataFrame:
+    """The rows, with all columns, whose text scores ``least`` or more; texts are scored as by ``score``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, _ = bag_scores(batch.column(text_column), w)
+            yield batch.filter(pa.array(found >= least))
+
+    return docs.mapInArrow(run, docs.schema)

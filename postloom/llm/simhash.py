@@ -201,3 +201,16 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         "fp", F.coalesce("component", "rep").alias("component")
     )
     return fps.join(classes, "fp", "left").select("id", "fp", "component")
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: the one with the smallest id.
+
+    Rows that repeat an id are one row. Rows with a null id can't be told apart, and all stay.
+    """
+    found = stored(near_duplicates(docs, id_column, text_column), "near-duplicates")
+    later = found.filter("id <> component").select(F.col("id").alias(id_column)).distinct()
+    kept = docs.join(later, id_column, "left_anti").select(docs.columns)
+    if found.filter("id IS NOT NULL").groupBy("id").count().filter("count > 1").isEmpty():
+        return kept
+    return kept.filter(F.col(id_column).isNotNull()).dropDuplicates([id_column]).union(kept.filter(F.col(id_column).isNull()))
