@@ -20,15 +20,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-STRETCH_BYTES = 24 << 20  # text per stretch; a longer document is a stretch of its own
-STRETCH_WORDS = 150_000  # distinct words per stretch, likewise
+STRETCH_BYTES = 32 << 20  # text per stretch; a longer document is a stretch of its own
+STRETCH_WORDS = 250_000  # distinct words per stretch, likewise
 FOLD_BYTES = 128  # longer words are merged by a heap, in n log n steps instead of n squared
-MAP_CELLS = 1 << 16
+PRIMES = (200_003, 180_001)  # sizes of the two tables of the rank map
 ID_BITS = 20
 ID_SPACE = 1 << ID_BITS
 NO_RANK = ID_SPACE - 1
 PLACE_BITS = 8
 PLACES = 1 << PLACE_BITS  # more than FOLD_BYTES
+RANK_UNIT = ID_SPACE * PLACES
 
 # Texts with no other characters than QUICK's may be cut by a pattern for the standard library, which is three
 # times as fast as the general one. It says the same as the pattern of the 50k vocabularies.
@@ -46,59 +47,103 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
 
 
+def placed(entries: dict[int, int]) -> tuple[list[int], list[int]]:
+    """Two tables in which each key stands at its place in one of them, as ``key * ID_SPACE + value``.
+
+    A key goes to its place in the first table; whoever stood there moves to its place in the other.
+    """
+    tables = ([-1] * PRIMES[0], [-1] * PRIMES[1])
+    for key, value in entries.items():
+        item = key * ID_SPACE + value
+        for turn in range(500):
+            side = turn % 2
+            at = item // ID_SPACE % PRIMES[side]
+            tables[side][at], item = item, tables[side][at]
+            if item < 0:
+                break
+        else:
+            raise ValueError("too many merges for the tables; raise PRIMES")
+    return tables
+
+
+def _numbers(values: list[int]) -> Column:
+    """A literal array: the optimizer parses the text once."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
 def rank_map(ranks: dict[bytes, int]) -> Column:
-    """Literal ``array<map<string,int>>``: for two adjacent ids, the rank of their joined bytes.
+    """Literal map from two adjacent ids to the rank of their joined bytes, as ``struct<one, two>`` of tables by ``placed``.
 
-    Pairs are spread over cells by ``cell``, so that each look-up meets a few entries.
+    Spark would search a map literal from end to end for each key; here a look-up reads two places.
     """
-    cells: list[list[str]] = [[] for _ in range(MAP_CELLS)]
+    entries = {}
     for piece, rank in ranks.items():
         for cut in range(1, len(piece)):
             left, right = ranks.get(piece[:cut]), ranks.get(piece[cut:])
             if left is not None and right is not None:
-                cells[(left * 31 + right * 7919) % MAP_CELLS].append(f'"{left * 65536 + right}":{rank}')
-    text = "[" + ",".join("{" + ",".join(cell) + "}" for cell in cells) + "]"
-    return F.from_json(F.lit(text), "array<map<string,int>>")
+                entries[left * ID_SPACE + right] = rank
+    one, two = placed(entries)
+    return F.struct(_numbers(one).alias("one"), _numbers(two).alias("two"))
+
+
+def byte_map(ranks: dict[bytes, int]) -> Column:
+    """Literal ``struct<ids, pairs>``: the id of each byte, and of each two bytes the rank of their merge."""
+    ids = [ranks[bytes([b])] for b in range(256)]
+    pairs = [ranks.get(bytes([a, b]), NO_RANK) for a in range(256) for b in range(256)]
+    return F.struct(_numbers(ids).alias("ids"), _numbers(pairs).alias("pairs"))
 
 
-def fold_merges(word: Column, table: Column, byte_ids: Column) -> Column:
+def fold_merges(word: Column, table: Column, bytes_table: Column) -> Column:
     """Ids of a word given as an array of byte values: the lowest rank merges first, leftmost on a tie.
 
-    The folded state is one array: for each piece its id, and above that the rank of its merge with
-    the next piece (``NO_RANK`` if there is none).
+    The folded state is one array of numbers that hold, from the top, the rank of a piece's merge with
+    the next piece (``NO_RANK`` if there is none), the place of its first byte, and its id. So the
+    smallest number is the next merge.
     """
 
-    def ranked(left: Column, right: Column) -> Column:
-        cell = F.pmod(left * 31 + right * 7919, F.lit(MAP_CELLS)).cast("int") + 1
-        rank = F.try_element_at(F.element_at(table, cell), (left * 65536 + right).cast("string"))
-        return F.coalesce(rank.cast("bigint"), F.lit(NO_RANK)) * ID_SPACE + left
+    def rank(left: Column, right: Column) -> Column:
+        key = left * ID_SPACE + right
+        one = F.get(table["one"], (key % PRIMES[0]).cast("int"))
+        two = F.get(table["two"], (key % PRIMES[1]).cast("int"))
+        found = F.when(F.shiftright(one, ID_BITS) == key, one).when(F.shiftright(two, ID_BITS) == key, two)
+        return F.coalesce(found.bitwiseAND(ID_SPACE - 1), F.lit(NO_RANK)) * RANK_UNIT
 
     def id_of(piece: Column) -> Column:
         return piece.bitwiseAND(ID_SPACE - 1)
 
-    def merge(state: Column, at: Column, new: Column) -> Column:
-        rest = F.filter(state, lambda _, i: i != at + 1)
+    def place_of(piece: Column) -> Column:
+        return piece.bitwiseAND((PLACES - 1) * ID_SPACE)
+
+    def merge(state: Column, at: Column, place: Column, new: Column) -> Column:
         return F.transform(
-            rest,
-            lambda piece, i: F.when(i == at, ranked(new, id_of(F.get(state, at + 2))))
-            .when(i == at - 1, ranked(id_of(piece), new))
+            F.filter(state, lambda _, i: i != at),  # at, counted from 0, is the right one of the two
+            lambda piece, i: F.when(i < at - 2, piece)
+            .when(i == at - 1, rank(new, id_of(F.get(state, at + 1))) + place + new)
+            .when(i == at - 2, rank(id_of(piece), new) + place_of(piece) + id_of(piece))
             .otherwise(piece),
         )
 
     def step(state: Column, _: Column) -> Column:
-        # Lowest rank, then leftmost place.
-        lowest = F.array_min(F.transform(state, lambda piece, i: F.shiftright(piece, ID_BITS) * PLACES + i))
-        found = F.filter(F.array(lowest), lambda x: x < NO_RANK * PLACES)
+        lowest = F.filter(F.array(F.array_min(state)), lambda x: x < NO_RANK * RANK_UNIT)
+        # What is used more than once is bound to a variable; else it would be computed each time.
         found = F.transform(
-            found, lambda x: F.struct(x.bitwiseAND(PLACES - 1).cast("int").alias("at"), F.shiftright(x, PLACE_BITS).alias("new"))
+            lowest,
+            lambda x: F.struct(
+                F.array_position(state, x).cast("int").alias("at"),
+                place_of(x).alias("place"),
+                F.shiftright(x, ID_BITS + PLACE_BITS).alias("new"),
+            ),
         )
-        merged = F.transform(found, lambda x: merge(state, x["at"], x["new"]))
+        merged = F.transform(found, lambda x: merge(state, x["at"], x["place"], x["new"]))
         return F.coalesce(F.get(merged, F.lit(0)), state)
 
-    # What is used more than once is bound to a variable of a one-element array; else it would be computed each time.
-    ids = F.array(F.transform(word, lambda byte: F.element_at(byte_ids, byte + 1)))
-    start = F.get(F.transform(ids, lambda own: F.transform(own, lambda left, i: ranked(left, F.get(own, i + 1)))), F.lit(0))
-    return F.aggregate(F.slice(word, 2, F.size(word)), start, step, lambda state: F.transform(state, lambda piece: id_of(piece).cast("int")))
+    def first(byte: Column, i: Column) -> Column:
+        pair = F.get(bytes_table["pairs"], byte * 256 + F.get(word, i + 1))
+        return F.coalesce(pair, F.lit(NO_RANK)) * RANK_UNIT + i * ID_SPACE + F.get(bytes_table["ids"], byte)
+
+    return F.aggregate(
+        F.slice(word, 2, F.size(word)), F.transform(word, first), step, lambda state: F.transform(state, lambda piece: id_of(piece).cast("int"))
+    )
 
 
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -179,10 +224,13 @@ def _stretches(pattern: str, quick_pattern: str | None):
 _LONG = pa.list_(pa.struct([("at", pa.int32()), ("word", pa.binary())]))
 
 
-def _laid_out(ranks_shared):
-    """Stretches with their words' ids to rows ``(id, n_tokens, ids, ids_sha256)``."""
+def _laid_out(ranks_shared, with_ids: bool):
+    """Stretches with their words' ids to rows ``(id, n_tokens, ids, ids_sha256, decoded_sha256)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = [b""] * (max(ranks_shared.value.values()) + 1)
+        for piece, rank in ranks_shared.value.items():
+            pieces[rank] = piece
         for batch in batches:
             for r in range(batch.num_rows):
                 keys, places, long, words = (batch.column(c).slice(r, 1) for c in range(4))
@@ -194,7 +242,7 @@ def _laid_out(ranks_shared):
                 for at, ids in parts.items():  # words too long to fold stand behind the others
                     first[at], sizes[at] = len(flat), len(ids)
                     flat = np.append(flat, np.array(ids, dtype="<u4"))
-                rows: list[tuple[int, np.ndarray, str]] = []
+                rows: list[tuple[int, np.ndarray, str, str]] = []
                 held = 0
                 keys = keys.flatten()
                 done = 0
@@ -204,7 +252,8 @@ def _laid_out(ranks_shared):
                     stop = np.cumsum(count, dtype=np.int64)
                     total = int(stop[-1]) if len(stop) else 0
                     ids = flat[np.arange(total) + np.repeat(first[at] - stop + count, count)]
-                    rows.append((total, ids.astype(np.int32), hashlib.sha256(ids.tobytes()).hexdigest()))
+                    decoded = hashlib.sha256(decode_ids(ids, pieces)).hexdigest()
+                    rows.append((total, ids.astype(np.int32) if with_ids else None, hashlib.sha256(ids.tobytes()).hexdigest(), decoded))
                     held += total
                     if held > 1_000_000:
                         yield _rows(keys.slice(done, len(rows)), rows)
@@ -213,14 +262,13 @@ def _laid_out(ranks_shared):
                     yield _rows(keys.slice(done, len(rows)), rows)
 
     def _rows(keys: pa.Array, rows: list) -> pa.RecordBatch:
-        counts = [n for n, _, _ in rows]
-        lists = pa.ListArray.from_arrays(
-            pa.array(np.cumsum([0, *counts], dtype=np.int32)), pa.array(np.concatenate([ids for _, ids, _ in rows]))
-        )
-        return pa.RecordBatch.from_arrays(
-            [keys, pa.array(counts, pa.int64()), lists, pa.array([h for _, _, h in rows])],
-            ["id", "n_tokens", "ids", "ids_sha256"],
-        )
+        counts, lists, digests, decoded = zip(*rows, strict=True)
+        columns = {"id": keys, "n_tokens": pa.array(counts, pa.int64())}
+        if with_ids:
+            ends = pa.array(np.cumsum([0, *counts], dtype=np.int32))
+            columns["ids"] = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(lists)))
+        columns |= {"ids_sha256": pa.array(digests), "decoded_sha256": pa.array(decoded)}
+        return pa.RecordBatch.from_pydict(columns)
 
     return run
 
@@ -232,14 +280,16 @@ def encode(
     quick_pattern: str | None = None,
     id_column: str = "doc_id",
     text_column: str = "text",
+    with_ids: bool = True,
 ) -> DataFrame:
-    """``(id, n_tokens, ids array<int>, ids_sha256)`` for every row, without special tokens.
+    """``(id, n_tokens, ids array<int>, ids_sha256, decoded_sha256)`` for every row, without special tokens.
 
     ``quick_pattern`` must say the same as ``pattern`` on texts of the characters in ``QUICK``.
 
     Each match of ``pattern`` is merged by itself. A null or empty text has no tokens. Equal rows
     give equal rows; nothing else is read, and an empty table gives an empty result. ``ids_sha256``
-    digests the ids as little-endian unsigned 32-bit integers.
+    digests the ids as little-endian unsigned 32-bit integers, ``decoded_sha256`` what they decode to.
+    Without ``with_ids`` the ids themselves are left out.
     """
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
@@ -247,13 +297,18 @@ def encode(
         _stretches(pattern, quick_pattern),
         f"ids array<{kind}>, places array<binary>, words array<array<int>>, long array<struct<at int, word binary>>",
     )
-    table = rank_map(ranks)
-    byte_ids = F.split(F.lit(",".join(str(ranks[bytes([b])]) for b in range(256))), ",").cast("array<int>")
-    # The literal stands in the plan once; within, it goes by a variable's name.
-    words = F.transform(F.array(table), lambda t: F.transform("words", lambda word: fold_merges(word, t, byte_ids)))
+    # The literals stand in the plan once; within, they go by a variable's name.
+    literals = F.array(F.struct(rank_map(ranks).alias("pairs"), byte_map(ranks).alias("bytes")))
+    words = F.transform(literals, lambda t: F.transform("words", lambda word: fold_merges(word, t["pairs"], t["bytes"])))
     folded = stretches.select("ids", "places", "long", F.get(words, F.lit(0)).alias("words"))
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
-    return folded.mapInArrow(_laid_out(shared), f"id {kind}, n_tokens bigint, ids array<int>, ids_sha256 string")
+    schema = f"id {kind}, n_tokens bigint, " + "ids array<int>, " * with_ids + "ids_sha256 string, decoded_sha256 string"
+    return folded.mapInArrow(_laid_out(shared, with_ids), schema)
+
+
+def decode_ids(ids: np.ndarray, pieces: list[bytes]) -> bytes:
+    """The bytes of ids: their pieces one after another."""
+    return b"".join(map(pieces.__getitem__, ids.tolist()))
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
