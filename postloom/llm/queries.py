@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import bpe, embeddings, language, leaks, pii, quality, repeats, sharding, simhash
+from postloom.llm import bpe, embeddings, language, leaks, lm, pii, quality, repeats, sharding, simhash
 from postloom.llm.tables import crc_remainder, read
 from postloom.session import prepare
 
@@ -48,6 +48,17 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_entities(docs, SURROGATE_KEY).select("doc_id", "n_entities", F.array_join("entity_kinds", ",").alias("kinds"), "text")
 
 
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read(spark, sf_dir, "documents")
+    held_out = crc_remainder(F.col("doc_id"), 7) == 2
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    scored = lm.score_texts(docs, docs.filter(~held_out), path, public_tokenizers.PATTERN)
+    scored = scored.withColumnRenamed("id", "doc_id")
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embeddings.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.95)
     return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
@@ -57,13 +68,9 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    encoded = bpe.encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, bpe.QUICK_PATTERN)
-    return encoded.select(
-        F.col("id").alias("doc_id"),
-        "n_tokens",
-        "ids_sha256",
-        F.sha2(bpe.decode(F.col("ids"), ranks), 256).alias("decoded_sha256"),
-    )
+    docs = read(spark, sf_dir, "documents")
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, bpe.QUICK_PATTERN, with_ids=False)
+    return encoded.withColumnRenamed("id", "doc_id")
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,6 +113,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
     "op3_pii": op3_pii,
+    "op4_lm": op4_lm,
     "op5_embeddings": op5_embeddings,
     "op6_bpe": op6_bpe,
     "op7_sharding": op7_sharding,
