@@ -27,9 +27,9 @@ from postloom.llm.tables import stored
 
 MIN_BYTES = 200
 GRAM = 64  # bytes of an anchor
-PIECE = 1 << 20  # bytes searched at a time; places in a piece take PLACE_BITS bits
+PIECE = 1 << 18  # bytes searched at a time; places in a piece take PLACE_BITS bits
 PLACE_BITS = 22
-SORTED_BYTES = 1 << 20  # bytes sorted at a time
+SORTED_BYTES = 1 << 18  # bytes sorted at a time
 HOT_CLASSES = 2000  # anchors with more different surroundings are compared window by window
 BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -41,9 +41,10 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 def anchor_runs(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, min_bytes: int, gram: int):
-    """Runs of windows with one anchor in each text ``data[start:stop]``: ``(text, lo, hi, anchor, hash)``.
+    """Runs of windows with equal anchors in each text ``data[start:stop]``: ``(text, lo, hi, places, hash)``.
 
-    ``lo`` and ``hi`` are the first and last window start, as places in ``data``.
+    ``lo`` and ``hi`` are the first and last window start, as places in ``data``; ``places`` counts the
+    places that the run's anchor stands at, which are several where the text repeats itself.
     """
     n, width = len(data), min_bytes - gram + 1
     grams = n - gram + 1
@@ -67,24 +68,29 @@ def anchor_runs(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, min_byt
     anchor = (np.minimum(back[:windows], ahead[width - 1 : width - 1 + windows]) & mask).astype(np.int64)
     text = np.repeat(np.arange(len(starts)), stops - starts)[:windows]
     inside = np.arange(windows) + min_bytes <= stops[text]
-    change = np.append(True, (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1]) | (inside[1:] != inside[:-1]))
+    named = hashes[anchor]
+    change = np.append(True, (named[1:] != named[:-1]) | (text[1:] != text[:-1]) | (inside[1:] != inside[:-1]))
+    # A text that repeats itself names one anchor for long: such runs are cut every ``width`` windows.
+    begin = np.flatnonzero(change)
+    change |= (np.arange(windows) - begin[np.cumsum(change) - 1]) % width == 0
     lo = np.flatnonzero(change)
     hi = np.append(lo[1:], windows) - 1
+    moves = np.append(0, np.cumsum(anchor[1:] != anchor[:-1]))
     lo, hi = lo[inside[lo]], hi[inside[lo]]
-    return text[lo], lo, hi, anchor[lo], hashes[anchor[lo]]
+    return text[lo], lo, hi, moves[hi] - moves[lo] + 1, named[lo]
 
 
 def _anchors(min_bytes: int, gram: int):
-    """Packed rows ``(row, packed)`` to ``(row, anchor, digest, lo, size, shift)``."""
+    """Packed rows ``(row, packed)`` to ``(row, anchor, digest, lo, size, places)``."""
 
     def found(rows: list[int], offsets: list[int], parts: list[bytes]) -> pa.RecordBatch:
         joined = b"".join(parts)
         stops = np.cumsum([len(p) for p in parts])
         starts = stops - [len(p) for p in parts]
-        text, lo, hi, anchor, hashes = anchor_runs(np.frombuffer(joined, dtype=np.uint8), starts, stops, min_bytes, gram)
+        text, lo, hi, places, hashes = anchor_runs(np.frombuffer(joined, dtype=np.uint8), starts, stops, min_bytes, gram)
         digest, view = xxhash.xxh3_64_intdigest, memoryview(joined)
         ends = (hi + min_bytes).tolist()
-        digests = [digest(view[a:b], s) for a, b, s in zip(lo.tolist(), ends, (anchor - lo).tolist(), strict=True)]
+        digests = [digest(view[a:b]) for a, b in zip(lo.tolist(), ends, strict=True)]
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(np.array(rows, dtype=np.int64)[text]),
@@ -92,9 +98,9 @@ def _anchors(min_bytes: int, gram: int):
                 pa.array(np.array(digests, dtype=np.uint64).view(np.int64)),
                 pa.array(np.array(offsets, dtype=np.int64)[text] + lo - starts[text]),
                 pa.array((hi - lo + 1).astype(np.int32)),
-                pa.array((anchor - lo).astype(np.int32)),
+                pa.array(places.astype(np.int32)),
             ],
-            ["row", "anchor", "digest", "lo", "size", "shift"],
+            ["row", "anchor", "digest", "lo", "size", "places"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,13 +313,14 @@ def remove_repeats(
     packed = texts.mapInArrow(_pack, f"id {kind}, packed binary")
     packed = stored(packed.withColumn("row", F.monotonically_increasing_id()), "texts")
     runs = packed.select("row", "packed").mapInArrow(
-        _anchors(min_bytes, gram), "row bigint, anchor bigint, digest bigint, lo bigint, size int, shift int"
+        _anchors(min_bytes, gram), "row bigint, anchor bigint, digest bigint, lo bigint, size int, places int"
     )
-    runs = stored(runs.drop("shift"), "anchors")
-    often = runs.groupBy("anchor").count().filter("count > 1").select("anchor")
+    runs = stored(runs, "anchors")
+    # Counts are written out before they are joined, so that both sides of the join are dealt anew and hot anchors can be split.
+    often = stored(runs.groupBy("anchor").agg(F.sum("places").alias("n")).filter("n > 1").select("anchor"), "often")
     runs = stored(runs.join(often, "anchor"), "repeated-anchors")
     classes = runs.groupBy("anchor", "digest").agg(
-        F.count("*").alias("n"), F.min(F.struct("row", "lo", "size")).alias("first")
+        F.count("*").alias("n"), F.max("places").alias("places"), F.min(F.struct("row", "lo", "size")).alias("first")
     )
     classes = stored(classes, "classes")
     # Equal surroundings: every window of the run is repeated.
@@ -321,8 +328,9 @@ def remove_repeats(
     if keep_first:
         whole = whole.filter("row <> first.row OR lo <> first.lo")
     spans = whole.select("row", F.col("lo").alias("start"), (F.col("lo") + F.col("size") + (min_bytes - 1)).alias("stop"))
-    # Different surroundings of one anchor: one of each kind is compared with the others.
-    kinds = classes.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
+    # Different surroundings of one anchor, or one that repeats itself: one of each kind is compared with the others.
+    kinds = classes.groupBy("anchor").agg(F.count("*").alias("kinds"), F.max("places").alias("places"))
+    kinds = stored(kinds.filter("kinds > 1 OR places > 1").select("anchor", "kinds"), "kinds")
     odd = classes.join(kinds, "anchor").select("anchor", "first.row", "first.lo", "first.size", (F.col("kinds") > HOT_CLASSES).alias("hot"))
     odd = stored(odd, "surroundings")
 
