@@ -7,6 +7,7 @@ from postloom.catalog.queries import (
     CRAWL_DAYS_BACK,
     CRAWL_KEYWORDS,
     NEWEST,
+    NEWEST_MANY,
     ONE_CUSTOMER,
     PAGE_SIZE,
     PAGE_START,
@@ -86,7 +87,7 @@ SILVER = f"""{FIELDS}, silver AS (
 # The cleaning steps one by one, from the innermost outwards.
 _ESCAPES = r"replace(replace(replace(replace(lower(coalesce(text, '')), '\t', ' '), '\n', ' '), '\u', ''), '\', '')"
 _ASCII = rf"regexp_replace({_ESCAPES}, '[^\x00-\x7F]', '?', 'g')"
-_MARKS = rf"regexp_replace({_ASCII}, '[@#][A-Za-z0-9]+|\w+://\S+', ' ', 'g')"
+_MARKS = rf"regexp_replace({_ASCII}, '[@#][A-Za-z0-9]+|\w+://[^\s\x0b\x1c-\x1f]+', ' ', 'g')"
 _BLANKS = rf"trim(regexp_replace({_MARKS}, '[\s\x0b\x1c-\x1f]+', ' ', 'g'))"
 _CUT_LINKS = f"replace(replace({_BLANKS}, 'http://', ' '), 'https://', ' ')"
 _DIGITS = rf"regexp_replace({_CUT_LINKS}, '[0-9]+', '', 'g')"
@@ -256,7 +257,7 @@ WORKLIST = f"""WITH {SILVER}
 SELECT keyword, tweet_id, reply_count FROM silver t
 WHERE type = 'tweet' AND coalesce(reply_count, 0) >= {WORKLIST_THRESHOLD}
   AND NOT EXISTS (SELECT 1 FROM silver r WHERE r.type = 'reply' AND r.root_tweet_id = t.tweet_id
-    AND r.keyword = t.keyword)"""
+    AND r.keyword IS NOT DISTINCT FROM t.keyword)"""
 
 ORPHANS = f"""WITH {SILVER}
 SELECT keyword, tweet_id, root_tweet_id, username FROM silver r
@@ -274,6 +275,16 @@ QUALIFY row_number() OVER (PARTITION BY keyword
   ORDER BY created_at DESC NULLS LAST, tweet_id, kafka_offset DESC) <= {NEWEST}"""
 
 
+NEWEST_MANY_POSTS = f"""WITH {SILVER}
+SELECT keyword, tweet_id, type, created_at, kafka_offset FROM silver
+QUALIFY row_number() OVER (PARTITION BY keyword
+  ORDER BY created_at DESC NULLS LAST, tweet_id, kafka_offset DESC) <= {NEWEST_MANY}"""
+
+STORED_TOP = TOP.replace(
+    "FROM silver", "FROM (SELECT * REPLACE (CASE kafka_offset % 7 WHEN 1 THEN '' WHEN 2 THEN '01' WHEN 3 THEN '1' ELSE keyword END AS keyword) FROM silver) AS silver"
+)
+
+
 def _counter(name: str) -> str:
     return f"CASE WHEN event_id % 11 = 0 THEN 0 ELSE {name} END AS {name}"
 
@@ -291,21 +302,28 @@ SELECT CASE WHEN root_tweet_id IS NULL THEN 'tweet' ELSE 'reply' END AS type, id
   {_counter("quote_count")}, {_counter("view_count")}, {_counter("bookmark_count")}
 FROM objects"""
 
+def _as_text(field: str) -> str:
+    return "strftime(created_at, '%Y-%m-%dT%H:%M:%SZ')" if field == "created_at" else field
+
+
 TOPIC = f"""WITH {SILVER}
 SELECT coalesce(keyword, 'default') AS key,
-  CAST(to_json(struct_pack({", ".join(f"{f} := {f}" for f in TOPIC_FIELDS)})) AS VARCHAR) AS value
+  CAST(to_json(struct_pack({", ".join(f"{f} := {_as_text(f)}" for f in TOPIC_FIELDS)})) AS VARCHAR) AS value
 FROM silver"""
 
 ROUTING = f"""WITH {SILVER}
 SELECT coalesce('social_posts-' || strftime(created_at, '%Y.%m.%d'), 'social_posts-current') AS _index,
-  count(*) AS posts, min(kafka_offset) AS first_offset
-FROM silver GROUP BY 1"""
+  tweet_id, keyword, text, kafka_offset, created_date
+FROM silver"""
 
 DOCUMENTS = f"SELECT doc_id, {CLEANED} AS cleaned_text FROM documents"
 
 CUSTOMERS = "customers AS (SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer)"
 PRODUCTS = "products AS (SELECT p_partkey AS id, p_name AS name, p_retailprice AS price FROM part)"
-SPREAD = "spread AS (SELECT p_partkey * 2 AS id, p_name AS name, p_retailprice AS balance FROM part)"
+# Parts without a key are left out by whatever writes them.
+SPREAD = """spread AS (
+  SELECT p_partkey * 2 AS id, p_name AS name, p_retailprice AS balance FROM part WHERE p_partkey % 50 <> 7
+)"""
 CHANGES = """changes AS (
   SELECT o_custkey AS id, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS name,
     CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END AS balance, o_orderkey AS seq,
@@ -314,11 +332,21 @@ CHANGES = """changes AS (
   FROM orders
 )"""
 
+FAULTY = f"""{CHANGES}, faulty AS (
+  SELECT CASE WHEN seq % 103 <> 9 THEN id END AS id, name, balance,
+    CASE WHEN seq % 97 = 5 THEN NULL WHEN seq % 101 = 7 THEN seq - 1 ELSE seq END AS seq, op
+  FROM changes
+), counted AS (
+  SELECT *, count(*) OVER (PARTITION BY seq) AS times FROM faulty WHERE id IS NOT NULL AND seq IS NOT NULL
+), sound AS (
+  SELECT id, name, balance, seq, op FROM counted WHERE times = 1
+)"""
+
 # One window over all actions of a key: fine for a small check, not for a hot key.
-JUDGED = f"""{CUSTOMERS}, {CHANGES}, log AS (
-  SELECT id, name, balance, seq, op FROM changes
+_JUDGED = """log AS (
+  SELECT id, name, balance, seq, op FROM sound
   UNION ALL
-  SELECT id, name, balance, -1, 'index' FROM customers WHERE id IN (SELECT id FROM changes)
+  SELECT id, name, balance, -1, 'index' FROM customers WHERE id IN (SELECT id FROM sound)
 ), before AS (
   SELECT *, coalesce(last_value(CASE op WHEN 'create' THEN TRUE WHEN 'index' THEN TRUE WHEN 'delete' THEN FALSE END
     IGNORE NULLS) OVER (PARTITION BY id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) AS was
@@ -327,7 +355,9 @@ JUDGED = f"""{CUSTOMERS}, {CHANGES}, log AS (
   SELECT *, CASE op WHEN 'index' THEN TRUE WHEN 'create' THEN NOT was ELSE was END AS valid FROM before
 )"""
 
-BULK = f"""WITH {JUDGED}, lives AS (
+JUDGED = f"{CUSTOMERS}, {FAULTY}, {_JUDGED}"
+
+_FOLDED = """lives AS (
   SELECT *, max(CASE WHEN op <> 'update' THEN seq END) OVER (PARTITION BY id) AS life FROM judged WHERE valid
 ), folded AS (
   SELECT id, max_by(name, seq) FILTER (WHERE name IS NOT NULL) AS name,
@@ -337,7 +367,29 @@ BULK = f"""WITH {JUDGED}, lives AS (
 )
 SELECT id, name, balance FROM folded WHERE NOT gone
 UNION ALL
-SELECT id, name, balance FROM customers WHERE id NOT IN (SELECT id FROM changes)"""
+SELECT id, name, balance FROM customers WHERE id NOT IN (SELECT id FROM sound)"""
+
+BULK = f"WITH {JUDGED}, {_FOLDED}"
+
+
+def _bulk_table(name: str, table: str, sound: str, value: str) -> str:
+    """A table after the actions on it, with the columns of the common result."""
+    other = "price" if value == "balance" else "balance"
+    folded = f"WITH {table}, {sound}, {_JUDGED}, {_FOLDED}"
+    return f"""SELECT '{name}' AS _index, id, name, balance AS {value}, CAST(NULL AS DOUBLE) AS {other} FROM ({folded})"""
+
+
+_PRODUCTS_AS_CUSTOMERS = "customers AS (SELECT p_partkey AS id, p_name AS name, p_retailprice AS balance FROM part)"
+_ON_PRODUCTS = """sound AS (
+  SELECT p_partkey * 2 AS id, p_name AS name, p_retailprice AS balance, p_partkey AS seq,
+    CASE p_partkey % 3 WHEN 0 THEN 'delete' WHEN 1 THEN 'update' ELSE 'index' END AS op
+  FROM part
+)"""
+BULK_LOG = f"""SELECT _index, id, name, balance, price FROM (
+{_bulk_table("customers", CUSTOMERS, f"{CHANGES}, sound AS (SELECT * FROM changes)", "balance")}
+UNION ALL BY NAME
+{_bulk_table("products", _PRODUCTS_AS_CUSTOMERS, _ON_PRODUCTS, "price")}
+)"""
 
 SQL: dict[str, str] = {
     "threads": THREADS,
@@ -363,6 +415,7 @@ SQL: dict[str, str] = {
     "orphan_replies": ORPHANS,
     "recent_window": RECENT,
     "newest_per_keyword": NEWEST_POSTS,
+    "newest_many_per_keyword": NEWEST_MANY_POSTS,
     "normalise_api_json": API,
     "topic_rows": TOPIC,
     "index_routing": ROUTING,
@@ -375,18 +428,28 @@ SELECT * FROM spread UNION ALL SELECT * FROM customers WHERE id NOT IN (SELECT i
 )
 SELECT * FROM newest UNION ALL
 SELECT s_suppkey * 3, s_name, s_acctbal FROM supplier WHERE s_suppkey * 3 NOT IN (SELECT id FROM newest)""",
-    "partial_update": f"""WITH {CUSTOMERS}, {CHANGES}, newest AS (
-  SELECT id * 2 AS id, max_by(name, seq) FILTER (WHERE name IS NOT NULL) AS name,
-    max_by(balance, seq) FILTER (WHERE balance IS NOT NULL) AS balance
-  FROM changes GROUP BY 1
+    "partial_update": f"""WITH {CUSTOMERS}, {FAULTY}, newest AS (
+  SELECT id * 2 AS id, max_by(name, seq) FILTER (WHERE name IS NOT NULL AND seq IS NOT NULL) AS name,
+    max_by(balance, seq) FILTER (WHERE balance IS NOT NULL AND seq IS NOT NULL) AS balance
+  FROM faulty GROUP BY 1
 )
 SELECT c.id, coalesce(n.name, c.name) AS name, coalesce(n.balance, c.balance) AS balance
 FROM customers c LEFT JOIN newest n ON c.id = n.id""",
+    "partial_update_rejects": f"""WITH {CUSTOMERS}, {FAULTY}, judged AS (
+  SELECT f.id * 2 AS id, f.name, f.balance, f.seq, f.op,
+    CASE WHEN f.id IS NULL THEN 'no key' WHEN f.seq IS NULL THEN 'no order' WHEN c.id IS NULL THEN 'missing' END AS reason
+  FROM faulty f LEFT JOIN customers c ON c.id = f.id * 2
+)
+SELECT * FROM judged WHERE reason IS NOT NULL""",
     "delete_by_id": f"""WITH {CUSTOMERS}
 SELECT * FROM customers WHERE id NOT IN (SELECT s_suppkey * 20 FROM supplier)""",
     "bulk_actions": BULK,
     "bulk_rejects": f"""WITH {JUDGED}
-SELECT seq, op, id, CASE op WHEN 'create' THEN 'exists' ELSE 'missing' END AS reason FROM judged WHERE NOT valid""",
+SELECT seq, op, id, CASE op WHEN 'create' THEN 'exists' ELSE 'missing' END AS reason FROM judged WHERE NOT valid
+UNION ALL SELECT seq, op, id, 'no key' FROM faulty WHERE id IS NULL
+UNION ALL SELECT seq, op, id, 'no order' FROM faulty WHERE id IS NOT NULL AND seq IS NULL
+UNION ALL SELECT seq, op, id, 'repeated order' FROM counted WHERE times > 1""",
+    "bulk_log_tables": BULK_LOG,
     "get_by_id": f"WITH {CUSTOMERS} SELECT * FROM customers WHERE id = {ONE_CUSTOMER}",
     "get_source": f"WITH {CUSTOMERS} SELECT name, balance FROM customers WHERE id = {ONE_CUSTOMER}",
     "exists": """SELECT l_partkey AS id, l_partkey IN (SELECT c_custkey FROM customer) AS "exists", count(*) AS asked
@@ -400,6 +463,8 @@ SELECT 'products', id, name, NULL, price FROM products WHERE id IN (SELECT l_sup
     "match_all": f"WITH {PRODUCTS} SELECT * FROM products",
     "paged_search": f"""WITH {PRODUCTS}
 SELECT * FROM products ORDER BY name, id LIMIT {PAGE_SIZE} OFFSET {PAGE_START}""",
+    "page_after": f"""WITH {PRODUCTS}
+SELECT * FROM products ORDER BY price, id LIMIT {PAGE_SIZE} OFFSET 1""",
     "sorted_search": f"WITH {PRODUCTS} SELECT * FROM products ORDER BY price DESC, id",
     "explode_items": """WITH parcels AS (
   SELECT l_orderkey AS id, CAST(l_partkey AS VARCHAR) AS product_id, l_extendedprice AS price, l_quantity,
@@ -411,4 +476,10 @@ SELECT id, product_id, price, least(10.0, l_quantity - i * 10) AS quantity,
 FROM parcels""",
     "stream_silver": SILVER_ROWS,
     "stream_gold_refresh": TWEET_STATS,
+    "refreshed_threads": THREADS,
+    "refreshed_top_users": TOP,
+    "refreshed_hourly": HOURLY,
+    "refreshed_reply_stats": REPLY_STATS,
+    "refreshed_hashtags": HASHTAGS,
+    "stored_top_users": STORED_TOP,
 }

@@ -16,10 +16,10 @@ from postloom.plans import gold, sentiment
 from postloom.plans.bronze import bronze
 from postloom.plans.nlp import nlp_preprocessed
 from postloom.plans.silver import parsed_posts, silver
-from postloom.plans.tables import shown
+from postloom.plans.tables import build_tables, gold_tables, laid_out, shown
 from postloom.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
 from postloom.session import prepare, shared_dir
-from postloom.sinks.routing import routed
+from postloom.sinks.routing import routed, write_routed
 from postloom.sinks.topic import topic_rows
 from postloom.sources.api_objects import flatten_api_objects
 from postloom.sources.samples import LEXICON, STOP_WORDS, api_objects, messages, table
@@ -37,6 +37,7 @@ CRAWL_DAY = date(2024, 1, 15)
 CRAWL_DAYS_BACK = 7
 CRAWL_KEYWORDS = ["click", "purchase", "view"]
 NEWEST = 100
+NEWEST_MANY = 1_500  # above what Catalyst cuts inside map tasks
 PAGE_SIZE, PAGE_START = 25, 50
 ONE_CUSTOMER = 42
 
@@ -152,18 +153,25 @@ def normalise_api_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_api_objects(api_objects(spark, sf_dir))
 
 
+# All fields of a message; times travel as text.
 TOPIC_FIELDS = [
-    "type", "tweet_id", "keyword", "username", "is_reply", "root_tweet_id", "like_count", "view_count"
+    "type", "tweet_id", "tweet_url", "keyword", "text", "created_at", "language", "username", "user_id", "user_name", "is_reply",
+    "in_reply_to_id", "in_reply_to_username", "root_tweet_id", "reply_count", "retweet_count", "like_count", "quote_count",
+    "view_count", "bookmark_count",
 ]
 
 
 def topic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topic_rows(silver_posts(spark, sf_dir), TOPIC_FIELDS)
+    posts = silver_posts(spark, sf_dir)
+    return topic_rows(posts.withColumn("created_at", F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")), TOPIC_FIELDS)
 
 
 def index_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    posts = routed(silver_posts(spark, sf_dir))
-    return posts.groupBy("_index").agg(F.count("*").alias("posts"), F.min("kafka_offset").alias("first_offset"))
+    """Whole posts written to a folder for each index, and read again."""
+    path = shared_dir(spark, "indexes")
+    posts = silver_posts(spark, sf_dir).select("tweet_id", "keyword", "text", "kafka_offset", "created_date")
+    write_routed(posts, path)
+    return spark.read.schema(routed(posts).schema).parquet(path)
 
 
 # --- text and sentiment -----------------------------------------------------------------------
@@ -237,12 +245,33 @@ def spread_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def faulty_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with some keys missing."""
+    return spread_products(spark, sf_dir).withColumn("id", F.when(F.col("seq") % 50 != 7, F.col("id")))
+
+
 def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keyed.insert_if_absent(customers(spark, sf_dir), spread_products(spark, sf_dir), "id", [F.asc("seq")])
+    """A batch with missing keys, applied twice."""
+    once = keyed.insert_if_absent(customers(spark, sf_dir), faulty_products(spark, sf_dir), "id", [F.asc("seq")])
+    return keyed.insert_if_absent(once, faulty_products(spark, sf_dir), "id", [F.asc("seq")])
 
 
 def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keyed.upsert(customers(spark, sf_dir), spread_products(spark, sf_dir), "id", [F.desc("seq")])
+    """A batch with missing keys, applied twice."""
+    once = keyed.upsert(customers(spark, sf_dir), faulty_products(spark, sf_dir), "id", [F.desc("seq")])
+    return keyed.upsert(once, faulty_products(spark, sf_dir), "id", [F.desc("seq")])
+
+
+def faulty_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as changes, some without a key, without a sequence number, or with the one before them."""
+    number = F.col("seq")
+    return orders_by_customer(spark, sf_dir).select(
+        F.when(number % 103 != 9, F.col("id")).alias("id"),
+        "name",
+        "balance",
+        F.when(number % 97 == 5, F.lit(None)).when(number % 101 == 7, number - 1).otherwise(number).alias("seq"),
+        "op",
+    )
 
 
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,10 +283,15 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partial_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    changes = orders_by_customer(spark, sf_dir).withColumn("id", F.col("id") * 2)
+    changes = faulty_changes(spark, sf_dir).withColumn("id", F.col("id") * 2)
     return keyed.partial_update(customers(spark, sf_dir), changes, "id", ["name", "balance"], "seq")
 
 
+def partial_update_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = faulty_changes(spark, sf_dir).withColumn("id", F.col("id") * 2)
+    return keyed.partial_update_rejects(customers(spark, sf_dir), changes, "id", "seq")
+
+
 def supplier_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 20).alias("id"))
 
@@ -267,12 +301,40 @@ def delete_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bulk_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    actions = orders_by_customer(spark, sf_dir)
+    actions = faulty_changes(spark, sf_dir)
     return bulk.apply_bulk(customers(spark, sf_dir), actions, "id", ["name", "balance"])
 
 
 def bulk_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bulk.bulk_rejects(customers(spark, sf_dir), orders_by_customer(spark, sf_dir), "id")
+    return bulk.bulk_rejects(customers(spark, sf_dir), faulty_changes(spark, sf_dir), "id")
+
+
+def bulk_log_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A written log of JSON lines for two tables: orders change customers, parts change products."""
+    bodies = [("name", "string"), ("balance", "double"), ("price", "double")]
+    on_customers = orders_by_customer(spark, sf_dir).select(
+        (F.col("seq") * 4).alias("line"), "op", F.lit("customers").alias("_index"), "id", "name", "balance", F.lit(None).cast("double").alias("price")
+    )
+    on_products = spread_products(spark, sf_dir).select(
+        (F.col("seq") * 4 + 2).alias("line"),
+        F.when(F.col("seq") % 3 == 0, "delete").when(F.col("seq") % 3 == 1, "update").otherwise("index").alias("op"),
+        F.lit("products").alias("_index"),
+        "id",
+        "name",
+        F.lit(None).cast("double").alias("balance"),
+        F.col("balance").alias("price"),
+    )
+    actions = on_customers.unionByName(on_products)
+    head = F.to_json(F.create_map(F.col("op"), F.struct("_index", F.col("id").cast("string").alias("_id"))))
+    fields = F.struct(*[name for name, _ in bodies])
+    body = F.when(F.col("op") == "update", F.to_json(F.struct(fields.alias("doc")))).otherwise(F.to_json(fields))
+    lines = actions.select(F.explode(F.array(F.struct("line", head.alias("value")), F.struct((F.col("line") + 1).alias("line"), body.alias("value")))).alias("l"))
+    lines = lines.select("l.line", "l.value").filter("value IS NOT NULL")
+    parsed = bulk.parse_bulk_log(lines, ", ".join(f"{name} {kind}" for name, kind in bodies)).withColumn("id", F.col("id").cast("bigint"))
+    tables = {"customers": customers(spark, sf_dir), "products": products(spark, sf_dir)}
+    after = bulk.apply_bulk_log(tables, parsed, {"customers": ["name", "balance"], "products": ["name", "price"]})
+    found = [t.withColumn("_index", F.lit(name)) for name, t in after.items()]
+    return found[0].unionByName(found[1], allowMissingColumns=True).select("_index", "id", "name", "balance", "price")
 
 
 def get_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,6 +373,18 @@ def paged_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.paged_search(products(spark, sf_dir), "id", PAGE_SIZE, PAGE_START, [F.asc("name")])
 
 
+def page_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page behind the cheapest product."""
+    found = products(spark, sf_dir)
+    first = found.orderBy("price", "id").head()
+    return keyed.page_after(found, "id", PAGE_SIZE, ["price"], [first["price"], first["id"]])
+
+
+def newest_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts = newest_per_keyword(silver_posts(spark, sf_dir), NEWEST_MANY)
+    return posts.select("keyword", "tweet_id", "type", "created_at", "kafka_offset")
+
+
 def sorted_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.sorted_search(products(spark, sf_dir), "id", [F.desc("price")])
 
@@ -337,10 +411,11 @@ def explode_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ----------------------------------------------------------------------------------
 
 
-def _run_ingest(spark: SparkSession, sf_dir: str) -> str:
-    """Messages through the bronze and silver streams; returns the folder of the tables."""
+def _run_ingest(spark: SparkSession, sf_dir: str, files: int | None = None) -> str:
+    """Messages through the bronze and silver streams; returns the folder of the tables. ``files``: topic files."""
     base = shared_dir(spark, "ingest")
-    messages(spark, sf_dir).write.parquet(f"{base}/topic")
+    sent = messages(spark, sf_dir)
+    (sent.repartition(files) if files else sent).write.parquet(f"{base}/topic")
     topic = read_stored_topic(spark, f"{base}/topic")
     bronze_stream(topic, f"{base}/bronze", f"{base}/_bronze", available_now=True).awaitTermination()
     rows = read_table_stream(spark, f"{base}/bronze", BRONZE_SCHEMA)
@@ -354,14 +429,33 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select(silver_posts(spark, sf_dir).columns)
 
 
-def stream_gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = _run_ingest(spark, sf_dir)
-    rows = read_table_stream(spark, f"{base}/silver", SILVER_SCHEMA)
-    gold_refresh_stream(
-        rows, f"{base}/silver", f"{base}/gold", f"{base}/_gold", available_now=True
-    ).awaitTermination()
-    columns = gold.tweet_stats(spark.read.schema(SILVER_SCHEMA).parquet(f"{base}/silver")).columns
-    return spark.read.parquet(f"{base}/gold/tweet_stats").select(columns)
+REFRESH_FILES = 2  # topic files of the refresh queries
+REFRESH_STEP = 40  # silver files per micro-batch: a few days at a time
+
+
+def refreshed(name: str, function: Callable[[DataFrame], DataFrame]) -> Query:
+    """A stored table after several micro-batches, each of which refreshes what it touches."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = _run_ingest(spark, sf_dir, REFRESH_FILES)
+        rows = read_table_stream(spark, f"{base}/silver", SILVER_SCHEMA, files_per_trigger=REFRESH_STEP)
+        gold_refresh_stream(
+            rows, f"{base}/silver", f"{base}/gold", f"{base}/_gold", available_now=True
+        ).awaitTermination()
+        declared = function(spark.read.schema(SILVER_SCHEMA).parquet(f"{base}/silver"))
+        stored = spark.read.schema(laid_out(name, declared).schema).parquet(f"{base}/gold/{name}")
+        return stored.select(declared.columns)
+
+    return query
+
+
+def stored_top_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rankings written and read again, for keywords that are no folder names: empty, digits, and none."""
+    odd = F.when(F.col("kafka_offset") % 7 == 1, "").when(F.col("kafka_offset") % 7 == 2, "01").when(F.col("kafka_offset") % 7 == 3, "1")
+    posts = silver_posts(spark, sf_dir).withColumn("keyword", F.coalesce(odd, "keyword"))
+    base = shared_dir(spark, "stored")
+    posts.write.parquet(f"{base}/silver")
+    return build_tables(spark, base, {"top_users": gold_tables()["top_users"]})["top_users"]
 
 
 QUERIES: dict[str, Query] = {
@@ -388,6 +482,7 @@ QUERIES: dict[str, Query] = {
     "orphan_replies": orphan_replies,
     "recent_window": recent_posts,
     "newest_per_keyword": newest_posts,
+    "newest_many_per_keyword": newest_many,
     "normalise_api_json": normalise_api_json,
     "topic_rows": topic_messages,
     "index_routing": index_routing,
@@ -395,9 +490,11 @@ QUERIES: dict[str, Query] = {
     "upsert": upsert,
     "upsert_latest": upsert_latest,
     "partial_update": partial_update,
+    "partial_update_rejects": partial_update_rejects,
     "delete_by_id": delete_by_id,
     "bulk_actions": bulk_actions,
     "bulk_rejects": bulk_rejects,
+    "bulk_log_tables": bulk_log_tables,
     "get_by_id": get_by_id,
     "get_source": get_source,
     "exists": exists,
@@ -405,10 +502,17 @@ QUERIES: dict[str, Query] = {
     "multi_get_tables": multi_get_tables,
     "match_all": match_all,
     "paged_search": paged_search,
+    "page_after": page_after,
     "sorted_search": sorted_search,
     "explode_items": explode_items,
     "stream_silver": stream_silver,
-    "stream_gold_refresh": stream_gold_refresh,
+    "stream_gold_refresh": refreshed("tweet_stats", gold.tweet_stats),
+    "refreshed_threads": refreshed("conversation_threads", gold.conversation_threads),
+    "refreshed_top_users": refreshed("top_users", gold.top_users),
+    "refreshed_hourly": refreshed("hourly_activity", gold.hourly_activity),
+    "refreshed_reply_stats": refreshed("reply_stats", gold.reply_stats),
+    "refreshed_hashtags": refreshed("trending_hashtags", gold.trending_hashtags),
+    "stored_top_users": stored_top_users,
 }
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,7 +23,7 @@ def label_score(label: Column) -> Column:
 
 
 def lexicon_sum(text: Column, lexicon: Mapping[str, int]) -> Column:
-    """Sum of the word weights of blank-separated text.
+    """Sum of the word weights of blank-separated text, in one pass over its words.
 
     Words of one weight share one membership test, so the cost per word of text is one hash
     look-up per distinct weight, not per lexicon entry.
@@ -31,21 +31,21 @@ def lexicon_sum(text: Column, lexicon: Mapping[str, int]) -> Column:
     by_weight: dict[int, list[str]] = defaultdict(list)
     for word, weight in lexicon.items():
         by_weight[weight].append(word)
-    words = F.split(text, " ")
-    total = F.lit(0)
-    for weight, members in sorted(by_weight.items()):
-        total = total + F.size(F.filter(words, _member_of(members))) * F.lit(weight)
-    return total
 
+    def weight_of(word: Column) -> Column:
+        found = F.lit(0)
+        for weight, members in sorted(by_weight.items()):
+            found = F.when(word.isin(members), F.lit(weight)).otherwise(found)
+        return found
 
-def _member_of(words: list[str]) -> Callable[[Column], Column]:
-    return lambda word: word.isin(words)
+    return F.aggregate(F.split(text, " "), F.lit(0), lambda total, word: total + weight_of(word))
 
 
 def lexicon_label(text: Column, lexicon: Mapping[str, int]) -> Column:
     """Label by the sign of the word sum; null for null or empty text."""
-    total = lexicon_sum(text, lexicon)
-    return F.when(
-        text != "",
-        F.when(total > 0, POSITIVE).when(total < 0, NEGATIVE).otherwise(NEUTRAL),
+    # Bound to a variable, the sum is computed once for both comparisons.
+    label = F.transform(
+        F.array(lexicon_sum(text, lexicon)),
+        lambda total: F.when(total > 0, POSITIVE).when(total < 0, NEGATIVE).otherwise(NEUTRAL),
     )
+    return F.when(text != "", F.get(label, F.lit(0)))

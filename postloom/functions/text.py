@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 MARKS = r"[@#][A-Za-z0-9]+"
 # The same plus links and the scheme of a link that is cut off after it. A link may start at a word
 # start or right behind the last match, so that a long word is tried once and not from each letter.
-MARKS_AND_LINKS = MARKS + r"|(?:(?<!\w)|\G)\w++://\S+|https?://"
+MARKS_AND_LINKS = MARKS + r"|(?:(?<!\w)|\G)\w++://[^\s\x1c-\x1f]+|https?://"
 # Everything but ASCII letters and control characters: digits, punctuation, non-ASCII.
 NOT_LETTERS = r"[\x21-\x40\x5b-\x60\x7b-\x7e\x80-\x{10ffff}]+"
 # Java's \s does not hold the four separators \x1c-\x1f.

@@ -3,23 +3,39 @@
 Whether an action is valid depends on the actions before it on the same key, and one key may own a
 third of the log. So no window ever spans all actions of a key: the log is cut into blocks of
 consecutive sequence numbers, windows run inside (key, block), and only one or two summary rows
-per block meet in the key's own group. Sequence numbers are unique, so a block holds a bounded
-number of rows whatever the keys are.
+per block meet in the key's own group. Sequence numbers are unique, and blocks are as wide as the
+numbers are sparse, so a block holds about a fixed number of rows whatever the keys are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Sequence numbers per block.
+from postloom.operators.joins import lookup_anti_join
+
+# Actions per block, on average.
 BLOCK = 100_000
 # The base table enters the log before every action.
 BEFORE_ALL = -(2**63)
 
 
+def block_width(actions: DataFrame, seq: str = "seq") -> int:
+    """Sequence numbers per block: ``BLOCK`` for dense numbers, more for sparse ones such as times."""
+    number = F.col(seq).cast("bigint")
+    first, last, rows = actions.agg(F.min(number), F.max(number), F.count(number)).head()
+    return max(BLOCK, -(-(last - first + 1) * BLOCK // rows)) if rows else BLOCK
+
+
+def _ordered(actions: DataFrame, key: str, seq: str) -> DataFrame:
+    """Actions that have a place in the log: with a key, and with a sequence number of their own."""
+    placed = actions.filter(F.col(key).isNotNull() & F.col(seq).isNotNull())
+    return lookup_anti_join(placed, repeated_seq(placed, seq), [seq])
+
+
 def _judged(
     base: DataFrame, actions: DataFrame, key: str, columns: Sequence[str], seq: str, block: int
 ) -> DataFrame:
@@ -58,17 +74,22 @@ def _judged(
 
 
 def bulk_rejects(
-    base: DataFrame, actions: DataFrame, key: str, seq: str = "seq", block: int = BLOCK
+    base: DataFrame, actions: DataFrame, key: str, seq: str = "seq", block: int | None = None
 ) -> DataFrame:
     """Actions that were not applied: ``seq, op, key, reason``.
 
     create of a key that exists, update or delete of one that does not, an unknown action name, or
-    an action without a key.
+    an action without a key, without a sequence number, or with one that others have too.
     """
-    keyless = actions.filter(F.col(key).isNull()).select(
-        F.col(seq).cast("bigint").alias(seq), "op", key, F.lit("no key").alias("reason")
-    )
-    judged = _judged(base, actions, key, [], seq, block)
+    placed = actions.filter(F.col(key).isNotNull() & F.col(seq).isNotNull())
+    again = placed.join(repeated_seq(placed, seq), seq, "left_semi")
+    unplaced = [
+        (actions.filter(F.col(key).isNull()), "no key"),
+        (actions.filter(F.col(key).isNotNull() & F.col(seq).isNull()), "no order"),
+        (again, "repeated order"),
+    ]
+    ordered = _ordered(actions, key, seq)
+    judged = _judged(base, ordered, key, [], seq, block or block_width(ordered, seq))
     reason = (
         F.when(F.col("_op") == "create", "exists")
         .when(F.col("_op").isin("update", "delete"), "missing")
@@ -77,7 +98,11 @@ def bulk_rejects(
     refused = judged.filter(~F.col("_valid")).select(
         F.col("_seq").alias(seq), F.col("_op").alias("op"), key, reason.alias("reason")
     )
-    return refused.unionByName(keyless)
+    for rows, why in unplaced:
+        refused = refused.unionByName(
+            rows.select(F.col(seq).cast("bigint").alias(seq), "op", key, F.lit(why).alias("reason"))
+        )
+    return refused
 
 
 def apply_bulk(
@@ -86,14 +111,17 @@ def apply_bulk(
     key: str,
     columns: Sequence[str],
     seq: str = "seq",
-    block: int = BLOCK,
+    block: int | None = None,
 ) -> DataFrame:
-    """Base after all valid actions, in order of the unique ``seq``.
+    """Base after all valid actions, in order of ``seq``. Actions without a key or a ``seq`` of their
+    own are refused, like others that :func:`bulk_rejects` lists.
 
     A create or index starts a new life of its key, a delete ends one; a later update sets the
     columns it holds (null means "not in this update"). Keys without an action pass unread by the
     fold.
     """
+    actions = _ordered(actions, key, seq)
+    block = block or block_width(actions, seq)
     valid = _judged(base, actions, key, columns, seq, block).filter("_valid")
     in_block = Window.partitionBy(key, "_block")
     so_far = in_block.orderBy("_seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -123,6 +151,47 @@ def apply_bulk(
     return untouched.unionByName(folded)
 
 
+# Action names of a bulk log.
+OPERATIONS = ["create", "index", "update", "delete"]
+
+
+def parse_bulk_log(lines: DataFrame, fields: str, line: str = "line", value: str = "value") -> DataFrame:
+    """Actions ``(seq, op, _index, id, <fields>)`` of a log of numbered JSON ``lines``.
+
+    An action's line names the operation with ``_index`` and ``_id``; what it writes stands in the
+    next line, but for delete. An update may wrap its fields in ``doc``. ``seq`` is the number of
+    the action's line. Broken lines are no actions.
+    """
+    target = "struct<_index string, _id string>"
+    schema = "struct<" + ", ".join(f"{op} {target}" for op in OPERATIONS) + ">"
+    head = F.from_json(value, schema)
+    op = F.coalesce(*[F.when(F.col(f"head.{name}").isNotNull(), F.lit(name)) for name in OPERATIONS])
+    chosen = F.coalesce(*[F.col(f"head.{name}") for name in OPERATIONS])
+    actions = lines.select(F.col(line).cast("bigint").alias("seq"), head.alias("head"))
+    actions = actions.select("seq", op.alias("op"), chosen["_index"].alias("_index"), chosen["_id"].alias("id")).filter("op IS NOT NULL")
+    body = F.from_json(value, f"struct<doc struct<{fields}>, {fields}>")
+    bodies = lines.select((F.col(line).cast("bigint") - 1).alias("seq"), body.alias("body"))
+    names = [f.name for f in T.StructType.fromDDL(fields)]
+    has_body = F.col("op") != "delete"
+    columns = [F.when(has_body, F.coalesce(f"body.doc.{n}", f"body.{n}")).alias(n) for n in names]
+    return actions.join(bodies, "seq", "left").select("seq", "op", "_index", "id", *columns)
+
+
+def apply_bulk_log(tables: Mapping[str, DataFrame], actions: DataFrame, columns: Mapping[str, Sequence[str]]) -> dict[str, DataFrame]:
+    """Every table after the actions whose ``_index`` names it; ``columns`` are those that a table's actions set.
+
+    Actions for a table that isn't given are refused: :func:`unknown_tables` lists them.
+    """
+    return {
+        name: apply_bulk(table, actions.filter(F.col("_index") == name), "id", columns[name]) for name, table in tables.items()
+    }
+
+
+def unknown_tables(tables: Iterable[str], actions: DataFrame) -> DataFrame:
+    """Actions that name no known table."""
+    return actions.filter(F.col("_index").isNull() | ~F.col("_index").isin(list(tables)))
+
+
 def repeated_seq(actions: DataFrame, seq: str = "seq") -> DataFrame:
     """Sequence numbers used more than once; a log is only defined where this is empty."""
     return actions.groupBy(seq).count().filter("count > 1").select(seq)

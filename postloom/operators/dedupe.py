@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postloom.operators.joins import lookup_join
+from postloom.operators.joins import lookup_anti_join
 from postloom.operators.ranking import latest_per_key
 
 # Fixed value: replies a post needs before its replies are fetched.
@@ -31,8 +31,8 @@ def dedupe_posts_stream(
 
 
 def not_yet_fetched(candidates: DataFrame, fetched: DataFrame, keys: Sequence[str] = ("tweet_id",)) -> DataFrame:
-    """Candidates whose keys are not in ``fetched``."""
-    return lookup_join(candidates, fetched.select(*keys).distinct(), keys, "left_anti")
+    """Candidates whose keys are not in ``fetched``; a null key is a key like any other."""
+    return lookup_anti_join(candidates, fetched.select(*keys).distinct(), keys)
 
 
 def reply_worklist(posts: DataFrame, fetched: DataFrame, threshold: int = REPLY_THRESHOLD) -> DataFrame:

@@ -8,6 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def lookup_anti_join(rows: DataFrame, looked_up: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose keys are not in ``looked_up (keys)``; here a null equals a null. Splits hot keys like :func:`lookup_join`."""
+    other = looked_up.select([F.col(k).alias(f"_other_{k}") for k in keys])
+    other = other.withColumn("_other_shard", F.xxhash64(*[f"_other_{k}" for k in keys]))
+    same = F.col("_shard") == F.col("_other_shard")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_other_{k}"))
+    return rows.withColumn("_shard", F.xxhash64(*keys)).join(other, same, "left_anti").drop("_shard")
+
+
 def lookup_join(rows: DataFrame, looked_up: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join ``rows`` (keys may repeat without bound) to ``looked_up`` (one row per key).
 

@@ -16,8 +16,9 @@ from postloom.operators.ranking import latest_per_key
 
 
 def absent_rows(base: DataFrame, batch: DataFrame, key: str, first: Sequence[Column]) -> DataFrame:
-    """Rows of the batch to append: keys the base lacks, the first row of each."""
-    return latest_per_key(batch, [key], first).select(base.columns).join(base.select(key), key, "left_anti")
+    """Rows of the batch to append: keys the base lacks, the first row of each; rows without a key are left out."""
+    keyed = batch.filter(F.col(key).isNotNull())
+    return latest_per_key(keyed, [key], first).select(base.columns).join(base.select(key), key, "left_anti")
 
 
 def insert_if_absent(base: DataFrame, batch: DataFrame, key: str, first: Sequence[Column]) -> DataFrame:
@@ -26,7 +27,12 @@ def insert_if_absent(base: DataFrame, batch: DataFrame, key: str, first: Sequenc
 
 
 def upsert(base: DataFrame, batch: DataFrame, key: str, newest_first: Sequence[Column]) -> DataFrame:
-    """Base with whole rows replaced or added by the newest batch row of each key."""
+    """Base with whole rows replaced or added by the newest batch row of each key.
+
+    Batch rows without a key are left out, so a batch that is applied twice changes nothing more;
+    :func:`keyless` lists them.
+    """
+    batch = batch.filter(F.col(key).isNotNull())
     newest = latest_per_key(batch, [key], newest_first).select(base.columns)
     kept = base.join(batch.select(key).distinct(), key, "left_anti")
     return kept.unionByName(newest)
@@ -36,7 +42,8 @@ def partial_update(
     base: DataFrame, batch: DataFrame, key: str, columns: Sequence[str], order: str
 ) -> DataFrame:
     """Base with single columns replaced. A null in the batch leaves the column as it is; of several
-    batch rows for a key each column takes its last value that is not null. Unknown keys are ignored."""
+    batch rows for a key each column takes its last value that is not null. What can't be applied is
+    listed by :func:`partial_update_rejects`."""
     changes = batch.groupBy(key).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_new_{c}") for c in columns]
     )
@@ -44,6 +51,19 @@ def partial_update(
     return base.join(changes, key, "left").withColumns(changed).select(base.columns)
 
 
+def keyless(batch: DataFrame, key: str) -> DataFrame:
+    """Batch rows that an insert or upsert leaves out, for want of a key."""
+    return batch.filter(F.col(key).isNull())
+
+
+def partial_update_rejects(base: DataFrame, batch: DataFrame, key: str, order: str) -> DataFrame:
+    """Batch rows that :func:`partial_update` can't apply, with a ``reason``: no key, no order, or a missing key."""
+    known = base.select(key, F.lit(True).alias("_known"))
+    reason = F.when(F.col(key).isNull(), "no key").when(F.col(order).isNull(), "no order").when(F.col("_known").isNull(), "missing")
+    judged = batch.join(known, key, "left").withColumn("reason", reason)
+    return judged.filter("reason IS NOT NULL").select(*batch.columns, "reason")
+
+
 def delete_by_id(base: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return base.join(ids.select(key).distinct(), key, "left_anti")
 
@@ -89,6 +109,24 @@ def paged_search(base: DataFrame, key: str, size: int, start: int = 0, by: Seque
     return sorted_search(base, key, by).offset(start).limit(size)
 
 
+def page_after(base: DataFrame, key: str, size: int, by: Sequence[str] = (), after: Sequence | None = None) -> DataFrame:
+    """The next ``size`` rows behind the row with sort values ``after`` (of the columns ``by``, then the key).
+
+    Unlike an offset, the page costs the same wherever it lies: rows up to ``after`` are filtered
+    out, and only ``size`` rows of each task are sorted on. Columns sort ascending, nulls first.
+    """
+    columns = [*by, key]
+    page = base
+    if after is not None:
+        behind = F.lit(False)
+        for name, value in reversed(list(zip(columns, after, strict=True))):
+            column, here = F.col(name), F.lit(value).cast(base.schema[name].dataType)
+            more = column.isNotNull() if value is None else column > here
+            behind = more | (column.eqNullSafe(here) & behind)
+        page = base.filter(behind)
+    return page.orderBy(*[F.asc_nulls_first(c) for c in columns]).limit(size)
+
+
 def explode_items(orders: DataFrame, order_id: str = "id", items: str = "items") -> DataFrame:
     """One row per order item, text numbers cast, with ``line_total = price * quantity``."""
     return orders.select(order_id, F.explode(items).alias("i")).select(

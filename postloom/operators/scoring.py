@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postloom.functions import sentiment
@@ -19,41 +19,64 @@ RowScorer = Callable[[str], str | None]
 BatchScorer = Callable[[Sequence[str]], Sequence[str | None]]
 
 
-def score_rows(df: DataFrame, scorer: RowScorer, text: str, label: str) -> DataFrame:
-    """One call per row. Empty text gives null, and so does a call that fails."""
+def score_rows(
+    df: DataFrame, scorer: RowScorer | Callable[[], RowScorer], text: str, label: str, error: str | None = None, factory: bool = False
+) -> DataFrame:
+    """One call per row. Empty text gives null, and so does a call that fails.
 
-    def call(value: str | None) -> str | None:
-        if not value:
-            return None
-        try:
-            return scorer(value)
-        except Exception:
-            return None
+    With ``factory``, ``scorer`` makes the scorer, once per task. ``error`` names a column for what a
+    failed call said (null where none failed), so that failures can be counted.
+    """
 
-    return df.withColumn(label, F.udf(call, "string", useArrow=True)(text))
+    @F.pandas_udf("label string, error string")
+    def call(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        score = scorer() if factory else scorer
+        for texts in batches:
+            rows: list[tuple[str | None, str | None]] = []
+            for value in texts:
+                try:
+                    rows.append((score(value) if value else None, None))
+                except Exception as failure:
+                    rows.append((None, repr(failure)))
+            yield pd.DataFrame(rows, columns=["label", "error"], dtype=object)
 
+    return _labelled(df, call(text), label, error)
 
-def score_batches(df: DataFrame, make_scorer: Callable[[], BatchScorer], text: str, label: str) -> DataFrame:
+
+def score_batches(
+    df: DataFrame, make_scorer: Callable[[], BatchScorer], text: str, label: str, error: str | None = None
+) -> DataFrame:
     """One call per Arrow batch, with a scorer built once per task.
 
-    Null and blank texts are not sent and give null; a batch whose call fails is null as a whole.
+    Null and blank texts are not sent and give null; a batch whose call fails is null as a whole. A
+    call that returns more or fewer labels than it was sent texts has failed: labels can't be told
+    apart then. ``error`` names a column for what a failed call said.
     """
 
-    @F.pandas_udf("string")
-    def call(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("label string, error string")
+    def call(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = make_scorer()
         for texts in batches:
-            labels = pd.Series([None] * len(texts), index=texts.index, dtype=object)
+            out = pd.DataFrame({"label": None, "error": None}, index=texts.index, dtype=object)
             sent = texts[texts.notna() & (texts.str.strip() != "")]
             if len(sent):
                 try:
-                    found = list(scorer(sent.tolist()))[: len(sent)]
-                    labels.loc[sent.index[: len(found)]] = found
-                except Exception:
-                    pass
-            yield labels
-
-    return df.withColumn(label, call(text))
+                    found = list(scorer(sent.tolist()))
+                    if len(found) != len(sent):
+                        raise ValueError(f"{len(found)} labels for {len(sent)} texts")
+                    out.loc[sent.index, "label"] = found
+                except Exception as failure:
+                    out.loc[sent.index, "error"] = repr(failure)
+            yield out
+
+    return _labelled(df, call(text), label, error)
+
+
+def _labelled(df: DataFrame, scored: Column, label: str, error: str | None) -> DataFrame:
+    out = df.withColumn("_scored", scored).withColumn(label, F.col("_scored.label"))
+    if error:
+        out = out.withColumn(error, F.col("_scored.error"))
+    return out.drop("_scored")
 
 
 def score_lexicon(df: DataFrame, lexicon: Mapping[str, int], text: str, label: str) -> DataFrame:

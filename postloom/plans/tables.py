@@ -78,8 +78,16 @@ def shown(table: str, df: DataFrame) -> DataFrame:
     return df.orderBy(*shown_order(table))
 
 
-# Layout of the stored tables: folders by day (by keyword where there is no day).
-PARTITIONS = {"top_users": ["keyword"], "hourly_activity": ["keyword"]}
+# Layout of the stored tables: folders by day, or by a bucket of the keyword. A keyword itself names no
+# folder: it is free text, of which '', '01' and null would not come back as they were.
+BUCKET = "keyword_bucket"
+BUCKETS = 64
+PARTITIONS = {
+    "top_users": [BUCKET],
+    "hourly_activity": [BUCKET],
+    "user_days": ["created_date", BUCKET],
+    "hour_days": ["created_date", BUCKET],
+}
 SORTED_WITHIN = {"silver": ["keyword", "type"]}
 
 
@@ -87,6 +95,15 @@ def partitions_of(table: str) -> list[str]:
     return PARTITIONS.get(table, ["created_date"])
 
 
+def keyword_bucket() -> Column:
+    return F.pmod(F.xxhash64("keyword"), F.lit(BUCKETS)).cast("int")
+
+
+def laid_out(table: str, df: DataFrame) -> DataFrame:
+    """``df`` with the columns that its stored layout needs."""
+    return df.withColumn(BUCKET, keyword_bucket()) if BUCKET in partitions_of(table) else df
+
+
 def build_silver(spark: SparkSession, bronze_path: str, base_dir: str) -> DataFrame:
     """Silver from stored bronze in one batch; the stream twin is ``streaming.ingest.silver_stream``."""
     return write_table(
@@ -111,5 +128,7 @@ def build_tables(
         if name not in chosen:
             continue
         sources = [spark.read.parquet(f"{base_dir}/{source}") for source in inputs]
-        built[name] = write_table(function(*sources), f"{base_dir}/{name}", partitions_of(name))
+        table = function(*sources)
+        stored = write_table(laid_out(name, table), f"{base_dir}/{name}", partitions_of(name))
+        built[name] = stored.select(table.columns)
     return built

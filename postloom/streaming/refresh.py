@@ -12,13 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from postloom.plans import gold
-from postloom.plans.tables import partitions_of
+from postloom.plans.tables import BUCKET, keyword_bucket, laid_out, partitions_of
 from postloom.sinks.tables import write_table
 from postloom.sources.tables import read_table
 
-# More touched partitions than this are not worth a list: the table is recomputed whole.
-MAX_LISTED = 5_000
-
 BY_DAY = {
     "tweet_stats": gold.tweet_stats,
     "reply_stats": gold.reply_stats,
@@ -35,16 +32,18 @@ THREADS = "conversation_threads"
 
 
 def _touched(batch: DataFrame, column: str) -> Column:
-    """Filter for the partitions a batch touches; a literal list prunes the folders read."""
-    values = [row[0] for row in batch.select(column).distinct().limit(MAX_LISTED + 1).collect()]
-    if len(values) > MAX_LISTED:
-        return F.lit(True)
+    """Filter for the partitions a batch touches; a literal list prunes the folders read.
+
+    Only for columns with few values by nature: days, of which a table has as many folders, and
+    keyword buckets.
+    """
+    values = [row[0] for row in batch.select(column).distinct().collect()]
     listed = F.col(column).isin([v for v in values if v is not None])
     return listed | F.col(column).isNull() if None in values else listed
 
 
 def _replace(name: str, table: DataFrame, base_dir: str) -> None:
-    write_table(table, f"{base_dir}/{name}", partitions_of(name), only_given_partitions=True)
+    write_table(laid_out(name, table), f"{base_dir}/{name}", partitions_of(name), only_given_partitions=True)
 
 
 def refresh_gold(batch: DataFrame, silver_path: str, base_dir: str, threads: bool = True) -> None:
@@ -55,22 +54,29 @@ def refresh_gold(batch: DataFrame, silver_path: str, base_dir: str, threads: boo
     days = {name: function(of_days) for name, function in BY_DAY.items()}
     for name, table in days.items():
         _replace(name, table, base_dir)
-    keywords = _touched(batch, "keyword")
+    buckets = _touched(batch.select(keyword_bucket().alias(BUCKET)), BUCKET)
     for name, (function, source) in BY_KEYWORD.items():
-        stored = spark.read.schema(days[source].schema).parquet(f"{base_dir}/{source}")
-        _replace(name, function(stored.filter(keywords)), base_dir)
+        schema = laid_out(source, days[source]).schema
+        stored = spark.read.schema(schema).parquet(f"{base_dir}/{source}")
+        _replace(name, function(stored.filter(buckets)), base_dir)
     if threads:
         _replace(THREADS, _touched_threads(batch, posts), base_dir)
 
 
 def _touched_threads(batch: DataFrame, posts: DataFrame) -> DataFrame:
-    """All threads of the days whose root posts the batch holds or answers."""
+    """All threads of the days whose root posts the batch holds or answers.
+
+    Replies of any day may belong to them, so the reply columns of all silver are read; but only
+    replies to these days' posts go on to the shuffle.
+    """
     root = F.when(F.col("type") == "tweet", F.col("tweet_id")).otherwise(F.col("root_tweet_id"))
     roots = batch.select(root.alias("tweet_id")).filter("tweet_id IS NOT NULL").distinct()
     tweets = posts.filter(F.col("type") == "tweet")
     days = tweets.select("tweet_id", "created_date").join(roots, "tweet_id", "left_semi")
     tweets = tweets.filter(_touched(days, "created_date"))
-    return gold.threads_of(tweets, gold.replies_per_root(posts))
+    wanted = tweets.select(F.col("tweet_id").alias("root_tweet_id")).distinct()
+    answers = posts.filter(F.col("type") == "reply").join(wanted, "root_tweet_id", "left_semi")
+    return gold.threads_of(tweets, gold.replies_per_root(answers))
 
 
 def gold_refresh_stream(

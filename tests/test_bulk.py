@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from postloom.operators import bulk
 from postloom.operators.bulk import apply_bulk, bulk_rejects, repeated_seq
 
 ACTION = "seq bigint, op string, id string, name string, price int"
@@ -80,10 +81,60 @@ def test_equals_step_by_step(spark, seed):
 
 
 def test_unknown_action_and_repeated_seq(spark):
-    rows = [(1, "drop", "a", None, None), (1, "index", "b", "B", 1), (2, "index", None, "N", 1)]
+    rows = [(3, "drop", "a", None, None), (1, "index", "b", "B", 1), (1, "index", "c", "C", 1), (2, "index", None, "N", 1)]
     actions = spark.createDataFrame(rows, ACTION)
     base = spark.createDataFrame([("z", "Z", 1)], ROW)
     rejects = bulk_rejects(base, actions, "id").collect()
-    assert sorted((r.op, r.reason) for r in rejects) == [("drop", "unknown action"), ("index", "no key")]
+    assert sorted((r.op, r.reason) for r in rejects) == [
+        ("drop", "unknown action"),
+        ("index", "no key"),
+        ("index", "repeated order"),
+        ("index", "repeated order"),
+    ]
     assert sorted(r.id for r in apply_bulk(base, actions, "id", ["name", "price"]).collect()) == ["b", "z"]
     assert [r.seq for r in repeated_seq(actions).collect()] == [1]
+
+
+def test_actions_without_a_place_in_the_log_are_listed(spark):
+    actions = [(1, "index", "a", "A", 1), (2, "index", "b", "B", 1), (2, "delete", "a", None, None)]
+    actions += [(None, "index", "c", "C", 1), (3, "index", None, "N", 1), (None, "index", None, "N", 1)]
+    base_df, action_df = spark.createDataFrame([("z", "Z", 9)], ROW), spark.createDataFrame(actions, ACTION)
+    state = {r.id: r.name for r in apply_bulk(base_df, action_df, "id", ["name", "price"]).collect()}
+    assert state == {"z": "Z", "a": "A"}
+    rejects = sorted((r.reason, r.seq, r.id) for r in bulk_rejects(base_df, action_df, "id").filter("seq IS NOT NULL AND id IS NOT NULL").collect())
+    assert rejects == [("repeated order", 2, "a"), ("repeated order", 2, "b")]
+    reasons = sorted(r.reason for r in bulk_rejects(base_df, action_df, "id").collect())
+    assert reasons == ["no key", "no key", "no order", "repeated order", "repeated order"]
+
+
+def test_sparse_numbers_share_blocks(spark, monkeypatch):
+    monkeypatch.setattr(bulk, "BLOCK", 10)
+    actions = [(k * 1_000_000, "index", "hot", f"n{k}", k) for k in range(200)]
+    action_df = spark.createDataFrame(actions, ACTION)
+    width = bulk.block_width(action_df)
+    assert len({k * 1_000_000 // width for k in range(200)}) <= 21
+    state, rejects = run(spark, [], actions, None)
+    assert state == {"hot": ("n199", 199)} and rejects == []
+
+
+def test_log_of_json_lines_for_several_tables(spark):
+    lines = [
+        '{"create": {"_index": "customers", "_id": "joko"}}',
+        '{"name": "Joko"}',
+        '{"index": {"_index": "customers", "_id": "budi"}}',
+        '{"name": "Budi"}',
+        '{"update": {"_index": "products", "_id": "1"}}',
+        '{"doc": {"price": 2500}}',
+        '{"delete": {"_index": "customers", "_id": "spammer"}}',
+        '{"index": {"_index": "elsewhere", "_id": "x"}}',
+        "not json",
+    ]
+    parsed = bulk.parse_bulk_log(spark.createDataFrame(list(enumerate(lines)), "line int, value string"), "name string, price int")
+    tables = {
+        "customers": spark.createDataFrame([("spammer", "S", None)], ROW),
+        "products": spark.createDataFrame([("1", "Noodles", 2000)], ROW),
+    }
+    after = bulk.apply_bulk_log(tables, parsed, {"customers": ["name", "price"], "products": ["name", "price"]})
+    assert {r.id: r.name for r in after["customers"].collect()} == {"joko": "Joko", "budi": "Budi"}
+    assert [tuple(r) for r in after["products"].collect()] == [("1", "Noodles", 2500)]
+    assert [r.id for r in bulk.unknown_tables(tables, parsed).collect()] == ["x"]

@@ -58,3 +58,25 @@ def test_explode_items_casts_text(spark):
         "id string, items array<struct<product_id:string,price:string,quantity:string>>",
     )
     assert rows(keyed.explode_items(orders)) == [("1", "1", 2000.0, 2.0, 4000.0), ("1", "2", 2000.0, None, None)]
+
+
+def test_null_keys_are_left_out_and_listed(spark):
+    base = spark.createDataFrame([(1, "a")], "id int, name string")
+    batch = spark.createDataFrame([(None, "n"), (2, "b"), (1, "c")], "id int, name string")
+    order = [F.desc("name")]
+    for apply in (keyed.upsert, keyed.insert_if_absent):
+        once = apply(base, batch, "id", order)
+        twice = apply(once, batch, "id", order)
+        assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, once.collect())) and twice.count() == 2
+    assert [r.name for r in keyed.keyless(batch, "id").collect()] == ["n"]
+
+
+def test_pages_follow_one_another(spark):
+    rows = [(k, None if k % 7 == 0 else k % 5) for k in range(40)]
+    base = spark.createDataFrame(rows, "id int, rank int")
+    expected = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
+    found, after = [], None
+    while page := [tuple(r) for r in keyed.page_after(base, "id", 7, ["rank"], after).collect()]:
+        found += page
+        after = [page[-1][1], page[-1][0]]
+    assert found == expected

@@ -41,6 +41,14 @@ def test_long_lists_are_cut_per_slice_first(posts):
     assert short.exceptAll(gold.top_users(posts, 1_001)).count() == 0
 
 
+def test_lists_longer_than_the_sessions_limit_are_cut_per_slice(posts, conf):
+    full = newest_per_keyword(posts, 100)
+    conf(spark__sql__optimizer__windowGroupLimitThreshold="50")
+    cut = newest_per_keyword(posts, 100)
+    assert executed(cut).count("_slice") > 1
+    assert cut.exceptAll(full).count() == 0 and cut.count() == full.count()
+
+
 def test_gold_reads_only_its_columns_and_pushes_the_type_filter(posts):
     plan = executed(gold.reply_stats(posts))
     scan = next(line for line in plan.splitlines() if "FileScan" in line)

@@ -45,7 +45,7 @@ def test_batch_scorer_skips_blank_texts(spark):
     assert labels(scoring.score_batches(df, make, "t", "label")) == ["A", None, None, None, "B"]
 
 
-def test_failing_batch_is_null_and_short_answers_fill_the_front(spark):
+def test_failing_batch_is_null_and_so_is_one_with_labels_missing_or_left_over(spark):
     def make_failing():
         def score(batch):
             raise RuntimeError("remote call failed")
@@ -54,7 +54,28 @@ def test_failing_batch_is_null_and_short_answers_fill_the_front(spark):
 
     df = texts(spark, ["a", "b", ""]).coalesce(1)
     assert labels(scoring.score_batches(df, make_failing, "t", "label")) == [None, None, None]
-    assert labels(scoring.score_batches(df, lambda: lambda batch: ["one"], "t", "label")) == ["one", None, None]
+    for found in (["one"], ["surplus", "x", "y"]):
+        out = scoring.score_batches(df, lambda found=found: lambda batch: found, "t", "label", error="error").orderBy("n").collect()
+        assert [r.label for r in out] == [None, None, None]
+        assert [bool(r.error) for r in out] == [True, True, False] and f"{len(found)} labels for 2 texts" in out[0].error
+
+
+def test_row_scorer_is_made_once_per_task_and_reports_failures(spark):
+    def make():
+        made = []
+
+        def score(text):
+            made.append(text)
+            if text == "fail":
+                raise RuntimeError("remote call failed")
+            return str(len(made))
+
+        return score
+
+    df = texts(spark, ["a", "fail", "", "b"]).coalesce(1)
+    out = scoring.score_rows(df, make, "t", "label", error="error", factory=True).orderBy("n").collect()
+    assert [r.label for r in out] == ["1", None, None, "3"]
+    assert [r.error for r in out] == [None, "RuntimeError('remote call failed')", None, None]
 
 
 def test_lexicon_scorers_agree(spark):

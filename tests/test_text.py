@@ -100,3 +100,8 @@ def test_created_at_with_day_name(spark):
     assert parse("Tue Dec 10 07:00:30 +0700 2024") == "2024-12-10 00:00:30"
     assert parse("2025-11-30T12:00:00Z") == "2025-11-30 12:00:00"
     assert parse("no") is None
+
+
+def test_a_link_ends_at_every_blank(spark):
+    df = spark.createDataFrame([("see http://ab\x1ccd end",)], "t string")
+    assert df.select(clean_text(F.col("t")).alias("c")).head().c == "see cd end"
