@@ -440,7 +440,12 @@ def refreshed(name: str, function: Callable[[DataFrame], DataFrame]) -> Query:
         base = _run_ingest(spark, sf_dir, REFRESH_FILES)
         rows = read_table_stream(spark, f"{base}/silver", SILVER_SCHEMA, files_per_trigger=REFRESH_STEP)
         gold_refresh_stream(
-            rows, f"{base}/silver", f"{base}/gold", f"{base}/_gold", available_now=True
+            rows,
+            f"{base}/silver",
+            f"{base}/gold",
+            f"{base}/_gold",
+            available_now=True,
+            threads=name == "conversation_threads",
         ).awaitTermination()
         declared = function(spark.read.schema(SILVER_SCHEMA).parquet(f"{base}/silver"))
         stored = spark.read.schema(laid_out(name, declared).schema).parquet(f"{base}/gold/{name}")
