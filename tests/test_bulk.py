@@ -81,7 +81,8 @@ def test_equals_step_by_step(spark, seed):
 
 
 def test_unknown_action_and_repeated_seq(spark):
-    rows = [(3, "drop", "a", None, None), (1, "index", "b", "B", 1), (1, "index", "c", "C", 1), (2, "index", None, "N", 1)]
+    rows = [(3, "drop", "a", None, None), (0, "index", "b", "B", 1), (2, "index", None, "N", 1)]
+    rows += [(1, "index", "c", "C", 1), (1, "index", "d", "D", 1)]
     actions = spark.createDataFrame(rows, ACTION)
     base = spark.createDataFrame([("z", "Z", 1)], ROW)
     rejects = bulk_rejects(base, actions, "id").collect()
