@@ -16,9 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-Q = 16
-PIECE = 120  # characters of a piece, after folding
-STRIDE = 60
+Q = 10  # small enough for whole items of 20 characters with an edit: size - Q + 1 - edits * Q is 1 at least
+PIECE = 60  # characters of a piece, after folding
+STRIDE = 10  # any run of PIECE + STRIDE - 1 characters of an item holds a whole piece
 EDIT_RATE = 0.05
 BLOCK_CHARS = 4 << 20  # benchmark text in one index; a larger benchmark is searched in several blocks
 BATCH_CHARS = 1 << 20
@@ -229,7 +229,8 @@ def find_leaks(
     """``(id, item_id, edits, start, stop, pieces, all_pieces)``: a row per document and item found in it.
 
     Case, punctuation and the width of gaps don't count. An item is found where one of its pieces of
-    ``PIECE`` characters (the whole item, if shorter) lies within ``rate`` edits a character;
+    ``PIECE`` characters (the whole item, if shorter) lies within ``rate`` edits a character. Pieces begin every ``STRIDE``
+    characters, so each verbatim run of ``PIECE + STRIDE - 1`` folded characters of an item is found;
     ``pieces`` of ``all_pieces`` were found, the best with ``edits`` edits, from character ``start`` to
     ``stop`` of the text. Null and empty texts hold nothing; items that are null or have under ``Q``
     letters, digits and gaps are nowhere; repeated rows repeat what they hold; an empty table on

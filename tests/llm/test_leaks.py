@@ -108,3 +108,22 @@ def test_alignment(seed):
                     new.append(min(row[j - 1] + (c != d), row[j] + 1, new[j - 1] + 1))
                 row = new
             assert row[-1] == true
+
+
+def test_runs_inside_an_item_and_edits_of_short_items(spark):
+    rng = random.Random(4)
+
+    def prose(n):
+        return " ".join("".join(rng.choice("etaoinshr") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+
+    item, short = prose(60), {n: (prose(20)[: n - 1] + "q") for n in (20, 31, 40, 47, 60, 63)}
+    docs = [(at, f"{prose(9)} x{item[at : at + 69]}x {prose(9)}") for at in range(0, 100, 7)] + [(500, prose(9) + item[15:160] + prose(9))]
+    # An edit in each part, as many as 5 % are.
+    for n, text in short.items():
+        chars = list(text)
+        for k in range(n // 20):
+            chars[(k + 1) * n // (n // 20 + 1)] = "w"
+        docs.append((1000 + n, prose(9) + " " + "".join(chars) + " " + prose(9)))
+    bench = spark.createDataFrame([(1, item), *short.items()], "item_id long, text string")
+    found = {(r.id, r.item_id) for r in leaks.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert found == {(k, 1 if k < 1000 else k - 1000) for k, _ in docs}
