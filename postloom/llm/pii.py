@@ -31,7 +31,7 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 # In order of preference where two begin at one place. Kinds are told apart again by ``kind_of``.
 PATTERNS = {
     "email": r"[\p{L}\p{N}._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,5}\.[A-Za-z]{2,24}",
-    "secret": r"(?<![0-9A-Za-z])[0-9a-fA-F]{32,128}(?![0-9A-Za-z])|(?<=(?i:token|secret|passwd|password|api.?key).{0,2}[:=]\s?[\"'])[^\s\"']{6,128}(?=[\"'])",
+    "secret": r"(?<![0-9A-Za-z])[0-9a-fA-F]{32,}+(?![0-9A-Za-z])|(?<=(?i:token|secret|passwd|password|api.?key).{0,2}[:=]\s?[\"'])[^\s\"']{6,}+(?=[\"'])",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
     "phone": r"\+\d{1,3}[ .-]?(?:\(\d{1,5}\)[ .-]?)?\d{2,5}(?:[ .-]?\d{2,5}){1,4}\b|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}\b|\b\d{3}[.-]\d{3}[.-]\d{4}\b",
@@ -178,7 +178,12 @@ def surrogate_of(key: str, kind: Column, canon: Column, draw: Column) -> Column:
         *((_number(digest, F.lit(at)) % 223 + 1 if at == 0 else _number(digest, F.lit(at)) % 256).cast("string") for at in range(4)),
     )
     iban = F.concat(F.substring(canon, 1, 2), F.substring(shaped, F.lit(3), F.length(canon)))
-    hexes = F.substring(F.concat(digest, F.sha2(digest, 512)), F.lit(1), F.length(canon))
+    # A digest of 128 hex digits for each stretch of the secret.
+    more = F.transform(
+        F.sequence(F.lit(0), F.floor(F.length(canon) / 128).cast("int")),
+        lambda i: F.when(i == 0, digest).when(i == 1, F.sha2(digest, 512)).otherwise(F.sha2(F.concat(digest, i.cast("string")), 512)),
+    )
+    hexes = F.substring(F.array_join(more, ""), F.lit(1), F.length(canon))
     secret = F.when(canon.rlike("^[0-9a-f]+$"), hexes).when(canon.rlike("^[0-9A-F]+$"), F.upper(hexes)).otherwise(shaped)
     return (
         F.when(kind == "email", email)

@@ -92,3 +92,14 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert pii.replace_entities(docs, KEY).collect() == []
     assert pii.replace_entities(spark.createDataFrame([(1, None)], "doc_id long, text string"), KEY).select(F.col("text")).collect()[0].text is None
+
+
+def test_secrets_of_any_length(spark):
+    for n in (128, 129, 4096):
+        hexes, quoted = ("0123456789abcdef" * n)[:n], ("aZ9-_x.Q" * n)[:n]
+        texts = [f"key {hexes} end", f"key {hexes.upper()} end", f'token: "{quoted}" end', f'token: "{hexes}" end']
+        rows = replaced(spark, texts)
+        assert [r.n_entities for r in rows] == [1] * 4 and all(r.entity_kinds == ["secret"] for r in rows)
+        for row, old in zip(rows, texts, strict=True):
+            assert len(row.text) == len(old) and row.text != old and hexes[:32] not in row.text.lower() and quoted[:32] not in row.text
+        assert re.fullmatch(r"key [0-9a-f]+ end", rows[0].text) and re.fullmatch(r"key [0-9A-F]+ end", rows[1].text)
