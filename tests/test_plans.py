@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import make_posts
+from post_rows import make_posts
 from postloom.catalog import queries
 from postloom.functions.text import clean_text, remove_stop_words
 from postloom.operators import dedupe

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import json
 
-from conftest import make_bronze
+from post_rows import make_bronze
 from postloom.operators.quality import POST_DROP_RULES, POST_WARN_RULES, apply_rules, violations
 from postloom.plans.silver import parsed_posts, silver
 from postloom.schemas import SILVER_SCHEMA

@@ -3,7 +3,7 @@ from __future__ import annotations
 import json
 from datetime import date
 
-from conftest import make_posts
+from post_rows import make_posts
 from postloom.sinks.routing import routed
 from postloom.sinks.tables import register_table, write_table
 from postloom.sinks.topic import topic_rows

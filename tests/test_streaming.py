@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import json
 
-from conftest import make_bronze
+from post_rows import make_bronze
 from postloom.catalog.queries import silver_posts
 from postloom.operators.dedupe import dedupe_posts_stream
 from postloom.plans import gold
