@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import bpe, embeddings, language, leaks, lm, pii, quality, repeats, sharding, simhash
+from postloom.llm import bpe, embeddings, language, leaks, lines, lm, pii, quality, repeats, sharding, simhash
 from postloom.llm.tables import crc_remainder, read
 from postloom.session import prepare
 
@@ -109,6 +109,11 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lines.dedupe_lines(read(spark, sf_dir, "documents"))
+    return cut.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
@@ -120,9 +125,27 @@ QUERIES: dict[str, Query] = {
     "op8_leaks": op8_leaks,
     "op9_language": op9_language,
     "op10_repeats": op10_repeats,
+    "op12_lines": op12_lines,
 }
 
-SQL: dict[str, str] = {}
+_KEY = """trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"""
+LINES = f"""WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents
+), keyed AS (
+  SELECT *, {_KEY} AS key FROM lines
+), held AS (
+  SELECT key, min(doc_id) AS keep FROM keyed WHERE length(key) >= {lines.MIN_CODE_POINTS}
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 2
+), judged AS (
+  SELECT k.*, h.key IS NOT NULL AND k.doc_id <> h.keep AS gone FROM keyed k LEFT JOIN held h ON k.key = h.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""
+
+SQL: dict[str, str] = {"op12_lines": LINES}
 
 
 def registered() -> dict[str, Query]:
