@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import bpe, embeddings, language, leaks, lines, lm, pii, quality, repeats, sharding, simhash
+from postloom.llm import bpe, embeddings, language, leaks, lines, lm, pii, quality, repeats, sharding, simhash, tries
 from postloom.llm.tables import crc_remainder, read
 from postloom.session import prepare
 
@@ -114,6 +114,21 @@ def op12_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def rebuilt_conversations(conversations: DataFrame) -> DataFrame:
+    """Each conversation with the first few turns of the first one of its hundred in place of its own."""
+    first = F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(6)).cast("int")
+    heads = conversations.filter(F.col("id") % 100 == 0).select(F.col("id").alias("head_id"), F.slice("turns", 1, 5).alias("head"))
+    rows = conversations.withColumn("head_id", F.col("id") - F.col("id") % 100).join(heads, "head_id", "left")
+    head = F.slice(F.coalesce("head", F.slice("turns", 1, 0)), F.lit(1), first)
+    return rows.select("id", F.concat(head, F.slice("turns", first + 1, F.size("turns"))).alias("turns"))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sequences = tries.turn_sequences(read(spark, sf_dir, "conversations"))
+    nodes = tries.prefix_trie(rebuilt_conversations(sequences))
+    return nodes.withColumn("ends_sha256", F.lower(F.hex("ends"))).drop("ends")
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
@@ -126,6 +141,7 @@ QUERIES: dict[str, Query] = {
     "op9_language": op9_language,
     "op10_repeats": op10_repeats,
     "op12_lines": op12_lines,
+    "op13_conversations": op13_conversations,
 }
 
 _KEY = """trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"""
@@ -145,7 +161,43 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id"""
 
-SQL: dict[str, str] = {"op12_lines": LINES}
+def crc32_sql(number: str) -> str:
+    """crc32 of a number's decimal digits, which this engine lacks: eight steps of one bit for each digit."""
+    return f"""list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({number}::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+    lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END))"""
+
+
+CONVERSATIONS = f"""WITH own AS (
+  SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), kept AS (
+  SELECT *, xor({crc32_sql("conv_id")}, 4294967295) % 6 AS h FROM own
+), rebuilt AS (
+  SELECT k.conv_id, list_concat(coalesce(list_slice(b.turns, 1, k.h), []), list_slice(k.turns, k.h + 1, len(k.turns))) AS turns
+  FROM kept k LEFT JOIN own b ON b.conv_id = k.conv_id - k.conv_id % 100
+), members AS (
+  SELECT conv_id, len(turns) AS n_turns, unnest(range(len(turns) + 1)) AS depth, turns FROM rebuilt
+), nodes AS (
+  SELECT depth, md5(list_slice(turns, 1, depth)::VARCHAR) AS node, min(conv_id) AS conv_id, count(*) AS n_convs,
+    max(n_turns) = depth AS childless, any_value(list_slice(turns, 1, depth)) AS path,
+    string_agg(conv_id, ',' ORDER BY conv_id) FILTER (WHERE n_turns = depth) AS ends
+  FROM members GROUP BY 1, 2
+), weighed AS (
+  SELECT *, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(path[depth].text) END AS saved FROM nodes
+), above AS (
+  SELECT *, unnest(range(depth + 1)) AS top FROM weighed
+), sums AS (
+  SELECT top AS depth, md5(list_slice(path, 1, top)::VARCHAR) AS node, count(*) FILTER (WHERE childless) AS n_leaves,
+    count(*) FILTER (WHERE depth = top + 1) AS n_children, sum(saved)::BIGINT AS saved_tokens
+  FROM above GROUP BY 1, 2
+)
+SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, n_children, n_leaves, saved_tokens,
+  sha256(coalesce(w.ends, '')) AS ends_sha256
+FROM weighed w JOIN sums s ON s.depth = w.depth AND s.node = w.node
+LEFT JOIN weighed p ON p.depth = w.depth - 1 AND p.node = md5(list_slice(w.path, 1, w.depth - 1)::VARCHAR)"""
+
+SQL: dict[str, str] = {"op12_lines": LINES, "op13_conversations": CONVERSATIONS}
 
 
 def registered() -> dict[str, Query]:
