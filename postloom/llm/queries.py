@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import bpe, embeddings, language, leaks, lines, lm, pii, quality, repeats, sharding, simhash, tries
+from postloom.llm import bpe, embeddings, language, leaks, lines, lm, periods, pii, quality, repeats, sharding, simhash, tries
 from postloom.llm.tables import crc_remainder, read
 from postloom.session import prepare
 
@@ -109,6 +109,43 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def some_made_periodic(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)``; every tenth text, by its id's crc32, repeats a stretch of its words from some word on."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.floor(crc / 10).alias("g"), (crc % 10 == 0).alias("made"))
+    rows = rows.withColumn("word", F.when(F.col("made"), F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")))
+    rows = rows.withColumn("n", F.size("word"))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.expr("g % n")))
+    rows = rows.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    source = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1),
+        lambda i: F.get("word", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")),
+    )
+    return rows.select("doc_id", F.when(F.col("made") & (F.col("n") > 0), F.array_join(source, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.periodic_runs(some_made_periodic(read(spark, sf_dir, "documents")))
+    # Runs come by start, then period; of equal exponents the first stays.
+    best = F.reduce(
+        "runs",
+        F.get("runs", F.lit(0)),
+        lambda top, r: F.when(r["length"] * top["period"] > top["length"] * r["period"], r).otherwise(top),
+    )
+    line = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    found = found.withColumn("best", best)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(line, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op12_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = lines.dedupe_lines(read(spark, sf_dir, "documents"))
     return cut.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -140,6 +177,7 @@ QUERIES: dict[str, Query] = {
     "op8_leaks": op8_leaks,
     "op9_language": op9_language,
     "op10_repeats": op10_repeats,
+    "op11_periods": op11_periods,
     "op12_lines": op12_lines,
     "op13_conversations": op13_conversations,
 }
