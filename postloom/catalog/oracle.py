@@ -6,6 +6,8 @@ from postloom.catalog.queries import (
     CRAWL_DAY,
     CRAWL_DAYS_BACK,
     CRAWL_KEYWORDS,
+    DEEP_PAGE,
+    DEEP_SIZE,
     NEWEST,
     NEWEST_MANY,
     ONE_CUSTOMER,
@@ -391,6 +393,13 @@ UNION ALL BY NAME
 {_bulk_table("products", _PRODUCTS_AS_CUSTOMERS, _ON_PRODUCTS, "price")}
 )"""
 
+def _ordered(sql: str, order: str) -> str:
+    return f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM ({sql})"
+
+
+_BY_DATE = "created_date DESC NULLS LAST"
+_TREND_ORDER = f"{_BY_DATE}, keyword NULLS FIRST, sentiment NULLS FIRST"
+
 SQL: dict[str, str] = {
     "threads": THREADS,
     "silver": SILVER_ROWS,
@@ -465,6 +474,8 @@ SELECT 'products', id, name, NULL, price FROM products WHERE id IN (SELECT l_sup
 SELECT * FROM products ORDER BY name, id LIMIT {PAGE_SIZE} OFFSET {PAGE_START}""",
     "page_after": f"""WITH {PRODUCTS}
 SELECT * FROM products ORDER BY price, id LIMIT {PAGE_SIZE} OFFSET 1""",
+    "deep_paged_search": f"""SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem
+ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT {DEEP_SIZE} OFFSET {DEEP_PAGE * DEEP_SIZE}""",
     "sorted_search": f"WITH {PRODUCTS} SELECT * FROM products ORDER BY price DESC, id",
     "explode_items": """WITH parcels AS (
   SELECT l_orderkey AS id, CAST(l_partkey AS VARCHAR) AS product_id, l_extendedprice AS price, l_quantity,
@@ -482,4 +493,12 @@ FROM parcels""",
     "refreshed_reply_stats": REPLY_STATS,
     "refreshed_hashtags": HASHTAGS,
     "stored_top_users": STORED_TOP,
+    "ordered_tweet_stats": _ordered(TWEET_STATS, f"{_BY_DATE}, total_tweets DESC, keyword NULLS FIRST"),
+    "ordered_reply_stats": _ordered(REPLY_STATS, f"{_BY_DATE}, total_replies DESC, keyword NULLS FIRST"),
+    "ordered_top_users": _ordered(TOP, "keyword NULLS FIRST, user_rank"),
+    "ordered_threads": _ordered(THREADS, "conversation_total_engagement DESC NULLS LAST, tweet_id"),
+    "ordered_hashtags": _ordered(HASHTAGS, f"{_BY_DATE}, keyword NULLS FIRST, hashtag_usage_count DESC, hashtag"),
+    "ordered_hourly": _ordered(HOURLY, "keyword NULLS FIRST, created_day_of_week NULLS FIRST, created_hour NULLS FIRST"),
+    "ordered_sentiment": _ordered(_trend("TRUE"), _TREND_ORDER),
+    "ordered_sentiment_nonnull": _ordered(_trend("sentiment IS NOT NULL"), _TREND_ORDER),
 }

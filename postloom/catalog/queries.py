@@ -11,12 +11,13 @@ from pyspark.sql import types as T
 
 from postloom.functions.text import clean_text, remove_stop_words
 from postloom.operators import bulk, dedupe, keyed, scoring
+from postloom.operators.positions import deep_page, positioned
 from postloom.operators.quality import POST_DROP_RULES, POST_WARN_RULES, violations
 from postloom.plans import gold, sentiment
 from postloom.plans.bronze import bronze
 from postloom.plans.nlp import nlp_preprocessed
 from postloom.plans.silver import parsed_posts, silver
-from postloom.plans.tables import build_tables, gold_tables, laid_out, shown
+from postloom.plans.tables import build_tables, gold_tables, laid_out, shown, shown_order
 from postloom.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
 from postloom.session import prepare, shared_dir
 from postloom.sinks.routing import routed, write_routed
@@ -40,6 +41,7 @@ NEWEST = 100
 NEWEST_MANY = 1_500  # above what Catalyst cuts inside map tasks
 PAGE_SIZE, PAGE_START = 25, 50
 ONE_CUSTOMER = 42
+DEEP_PAGE, DEEP_SIZE = 10_000, 5
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -59,6 +61,11 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(columns)
 
 
+def in_order(name: str, query: Query) -> Query:
+    """A query's rows with their positions in the order that the table ``name`` is shown in."""
+    return lambda spark, sf_dir: positioned(query(spark, sf_dir), shown_order(name))
+
+
 def silver_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(bronze(messages(spark, sf_dir)))
 
@@ -385,6 +392,13 @@ def newest_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posts.select("keyword", "tweet_id", "type", "created_at", "kafka_offset")
 
 
+def deep_paged_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page far behind the start of all order lines, dearest first."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    order = [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber")]
+    return deep_page(spark, lines, order, DEEP_SIZE, DEEP_PAGE * DEEP_SIZE)
+
+
 def sorted_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.sorted_search(products(spark, sf_dir), "id", [F.desc("price")])
 
@@ -508,6 +522,7 @@ QUERIES: dict[str, Query] = {
     "match_all": match_all,
     "paged_search": paged_search,
     "page_after": page_after,
+    "deep_paged_search": deep_paged_search,
     "sorted_search": sorted_search,
     "explode_items": explode_items,
     "stream_silver": stream_silver,
@@ -518,6 +533,14 @@ QUERIES: dict[str, Query] = {
     "refreshed_reply_stats": refreshed("reply_stats", gold.reply_stats),
     "refreshed_hashtags": refreshed("trending_hashtags", gold.trending_hashtags),
     "stored_top_users": stored_top_users,
+    "ordered_tweet_stats": in_order("tweet_stats", lambda spark, sf_dir: gold.tweet_stats(silver_posts(spark, sf_dir))),
+    "ordered_reply_stats": in_order("reply_stats", lambda spark, sf_dir: gold.reply_stats(silver_posts(spark, sf_dir))),
+    "ordered_top_users": in_order("top_users", lambda spark, sf_dir: gold.top_users(silver_posts(spark, sf_dir))),
+    "ordered_threads": in_order("conversation_threads", threads),
+    "ordered_hashtags": in_order("trending_hashtags", lambda spark, sf_dir: gold.trending_hashtags(silver_posts(spark, sf_dir))),
+    "ordered_hourly": in_order("hourly_activity", lambda spark, sf_dir: gold.hourly_activity(silver_posts(spark, sf_dir))),
+    "ordered_sentiment": in_order("sentiment_analytics", sentiment_analytics),
+    "ordered_sentiment_nonnull": in_order("sentiment_analytics_batch", sentiment_analytics_nonnull),
 }
 
 
