@@ -493,6 +493,10 @@ FROM parcels""",
     "refreshed_reply_stats": REPLY_STATS,
     "refreshed_hashtags": HASHTAGS,
     "stored_top_users": STORED_TOP,
+    "merged_tweet_stats": TWEET_STATS,
+    "merged_reply_stats": REPLY_STATS,
+    "merged_hashtags": HASHTAGS,
+    "merged_threads": THREADS,
     "ordered_tweet_stats": _ordered(TWEET_STATS, f"{_BY_DATE}, total_tweets DESC, keyword NULLS FIRST"),
     "ordered_reply_stats": _ordered(REPLY_STATS, f"{_BY_DATE}, total_replies DESC, keyword NULLS FIRST"),
     "ordered_top_users": _ordered(TOP, "keyword NULLS FIRST, user_rank"),

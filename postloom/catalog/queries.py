@@ -28,6 +28,7 @@ from postloom.sources.selection import newest_per_keyword, recent_window
 from postloom.sources.tables import read_table_stream
 from postloom.sources.topic import read_stored_topic
 from postloom.streaming.ingest import bronze_stream, silver_stream
+from postloom.streaming.merging import THREAD_BUCKET, merging_stream
 from postloom.streaming.refresh import gold_refresh_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -468,6 +469,20 @@ def refreshed(name: str, function: Callable[[DataFrame], DataFrame]) -> Query:
     return query
 
 
+def merged(name: str, function: Callable[[DataFrame], DataFrame]) -> Query:
+    """A stored table that several micro-batches were merged into, without reading a post twice."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = _run_ingest(spark, sf_dir, REFRESH_FILES)
+        rows = read_table_stream(spark, f"{base}/silver", SILVER_SCHEMA, files_per_trigger=REFRESH_STEP)
+        merging_stream(rows, f"{base}/gold", f"{base}/_merging", [name], available_now=True).awaitTermination()
+        declared = function(spark.read.schema(SILVER_SCHEMA).parquet(f"{base}/silver"))
+        layout = declared.withColumn(THREAD_BUCKET, F.lit(0)) if name == "threads" else declared
+        return spark.read.schema(layout.schema).parquet(f"{base}/gold/{name}").select(declared.columns)
+
+    return query
+
+
 def stored_top_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rankings written and read again, for keywords that are no folder names: empty, digits, and none."""
     odd = F.when(F.col("kafka_offset") % 7 == 1, "").when(F.col("kafka_offset") % 7 == 2, "01").when(F.col("kafka_offset") % 7 == 3, "1")
@@ -533,6 +548,10 @@ QUERIES: dict[str, Query] = {
     "refreshed_reply_stats": refreshed("reply_stats", gold.reply_stats),
     "refreshed_hashtags": refreshed("trending_hashtags", gold.trending_hashtags),
     "stored_top_users": stored_top_users,
+    "merged_tweet_stats": merged("tweet_stats", gold.tweet_stats),
+    "merged_reply_stats": merged("reply_stats", gold.reply_stats),
+    "merged_hashtags": merged("trending_hashtags", gold.trending_hashtags),
+    "merged_threads": merged("threads", gold.conversation_threads),
     "ordered_tweet_stats": in_order("tweet_stats", lambda spark, sf_dir: gold.tweet_stats(silver_posts(spark, sf_dir))),
     "ordered_reply_stats": in_order("reply_stats", lambda spark, sf_dir: gold.reply_stats(silver_posts(spark, sf_dir))),
     "ordered_top_users": in_order("top_users", lambda spark, sf_dir: gold.top_users(silver_posts(spark, sf_dir))),

@@ -31,7 +31,7 @@ BY_KEYWORD = {
 THREADS = "conversation_threads"
 
 
-def _touched(batch: DataFrame, column: str) -> Column:
+def touched(batch: DataFrame, column: str) -> Column:
     """Filter for the partitions a batch touches; a literal list prunes the folders read.
 
     Only for columns with few values by nature: days, of which a table has as many folders, and
@@ -50,11 +50,11 @@ def refresh_gold(batch: DataFrame, silver_path: str, base_dir: str, threads: boo
     """Recompute what the silver rows of ``batch`` (already stored) touch."""
     spark = batch.sparkSession
     posts = read_table(spark, silver_path)
-    of_days = posts.filter(_touched(batch, "created_date"))
+    of_days = posts.filter(touched(batch, "created_date"))
     days = {name: function(of_days) for name, function in BY_DAY.items()}
     for name, table in days.items():
         _replace(name, table, base_dir)
-    buckets = _touched(batch.select(keyword_bucket().alias(BUCKET)), BUCKET)
+    buckets = touched(batch.select(keyword_bucket().alias(BUCKET)), BUCKET)
     for name, (function, source) in BY_KEYWORD.items():
         schema = laid_out(source, days[source]).schema
         stored = spark.read.schema(schema).parquet(f"{base_dir}/{source}")
@@ -73,7 +73,7 @@ def _touched_threads(batch: DataFrame, posts: DataFrame) -> DataFrame:
     roots = batch.select(root.alias("tweet_id")).filter("tweet_id IS NOT NULL").distinct()
     tweets = posts.filter(F.col("type") == "tweet")
     days = tweets.select("tweet_id", "created_date").join(roots, "tweet_id", "left_semi")
-    tweets = tweets.filter(_touched(days, "created_date"))
+    tweets = tweets.filter(touched(days, "created_date"))
     wanted = tweets.select(F.col("tweet_id").alias("root_tweet_id")).distinct()
     answers = posts.filter(F.col("type") == "reply").join(wanted, "root_tweet_id", "left_semi")
     return gold.threads_of(tweets, gold.replies_per_root(answers))

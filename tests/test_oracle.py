@@ -10,6 +10,9 @@ from postloom.catalog.queries import QUERIES
 
 # One of the refreshed tables stands for all here: each runs the streams anew, and test_streaming compares all tables.
 ONCE = {"refreshed_top_users", "refreshed_hourly", "refreshed_reply_stats", "refreshed_hashtags"}
+# The same for merged tables (test_merging) and for orders beyond the first (test_positions).
+ONCE |= {"merged_tweet_stats", "merged_reply_stats", "merged_threads"}
+ONCE |= {"ordered_reply_stats", "ordered_top_users", "ordered_hashtags", "ordered_hourly", "ordered_sentiment", "ordered_sentiment_nonnull"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - ONCE))
