@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from postloom.catalog.queries import (
+    AUDIT_BATCHES,
     CRAWL_DAY,
     CRAWL_DAYS_BACK,
     CRAWL_KEYWORDS,
     DEEP_PAGE,
     DEEP_SIZE,
+    KEYED_BATCHES,
     NEWEST,
     NEWEST_MANY,
     ONE_CUSTOMER,
@@ -16,6 +18,7 @@ from postloom.catalog.queries import (
     TOPIC_FIELDS,
     WORKLIST_THRESHOLD,
 )
+from postloom.operators.letters import LETTERS
 from postloom.plans.gold import MIN_HASHTAG_USES, TOP_USERS
 from postloom.sources.samples import LEXICON, STOP_WORDS, WORDLESS
 
@@ -246,6 +249,18 @@ SELECT rule, action, violations, rows FROM (
   SELECT 'valid_date', 'warn', count(*) FILTER (WHERE broken OR created_at IS NULL), count(*) FROM parsed
 ) v"""
 
+AUDIT = f"""WITH {FIELDS}, judged AS (
+  SELECT event_id % 211 = 0 AS broken, * FROM fields
+)
+SELECT event_id % {AUDIT_BATCHES} AS batch, count(*) AS rows_in,
+  count(*) FILTER (WHERE NOT broken AND id IS NOT NULL AND text <> '' AND username IS NOT NULL AND type <> 'retweet') AS rows_out,
+  count(*) FILTER (WHERE broken OR id IS NULL) AS valid_id,
+  count(*) FILTER (WHERE broken OR text = '') AS valid_text,
+  count(*) FILTER (WHERE broken OR username IS NULL) AS valid_username,
+  count(*) FILTER (WHERE broken OR type = 'retweet') AS valid_type,
+  count(*) FILTER (WHERE broken OR created_at IS NULL) AS valid_date
+FROM judged GROUP BY 1"""
+
 DEDUPE = f"""WITH {SILVER}, crawled AS (
   SELECT keyword, tweet_id, type, text, like_count, kafka_timestamp, kafka_offset FROM silver
   UNION ALL
@@ -393,6 +408,32 @@ UNION ALL BY NAME
 {_bulk_table("products", _PRODUCTS_AS_CUSTOMERS, _ON_PRODUCTS, "price")}
 )"""
 
+# Multinomial naive Bayes with add-one smoothing, from sums by label and letter.
+MODEL = f"""WITH counts AS (
+  SELECT doc_id, letter, length(coalesce(text, '')) - length(replace(coalesce(text, ''), letter, '')) AS n
+  FROM documents, (SELECT unnest(string_split('{LETTERS}', '')) AS letter)
+), known AS (
+  SELECT doc_id, quality FROM labels WHERE quality IS NOT NULL AND doc_id IN (SELECT doc_id FROM documents)
+), sums AS (
+  SELECT quality, letter, sum(n) + 1 AS n FROM counts JOIN known USING (doc_id) GROUP BY ALL
+), weights AS (
+  SELECT quality, letter, ln(n) - ln(sum(n) OVER (PARTITION BY quality)) AS weight FROM sums
+), priors AS (
+  SELECT quality, ln(count(*) + 1) - ln((SELECT count(*) + count(DISTINCT quality) FROM known)) AS prior FROM known GROUP BY 1
+), posteriors AS (
+  SELECT doc_id, quality, any_value(prior) + sum(n * weight) AS posterior
+  FROM counts JOIN weights USING (letter) JOIN priors USING (quality) GROUP BY ALL
+), best AS (
+  SELECT doc_id, arg_max(quality, posterior) AS quality FROM posteriors GROUP BY 1
+)
+SELECT d.doc_id, CASE WHEN d.text <> '' THEN CASE quality WHEN 1 THEN 'good' ELSE 'poor' END END AS label
+FROM documents d JOIN best b ON d.doc_id = b.doc_id"""
+
+KEYED_STORE = f"""WITH {CHANGES}
+SELECT id, name, balance, seq FROM changes
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq % {KEYED_BATCHES} DESC, seq DESC) = 1"""
+
+
 def _ordered(sql: str, order: str) -> str:
     return f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM ({sql})"
 
@@ -493,6 +534,13 @@ FROM parcels""",
     "refreshed_reply_stats": REPLY_STATS,
     "refreshed_hashtags": HASHTAGS,
     "stored_top_users": STORED_TOP,
+    "zordered_posts": RECENT,
+    "threads_bucketed": THREADS,
+    "page_objects": API,
+    "predictions_model": MODEL,
+    "keyed_store": KEYED_STORE,
+    "ingest_audit": AUDIT,
+    "stream_dedupe": DEDUPE,
     "merged_tweet_stats": TWEET_STATS,
     "merged_reply_stats": REPLY_STATS,
     "merged_hashtags": HASHTAGS,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -11,24 +12,30 @@ from pyspark.sql import types as T
 
 from postloom.functions.text import clean_text, remove_stop_words
 from postloom.operators import bulk, dedupe, keyed, scoring
+from postloom.operators.letters import fit_letter_model, with_letter_counts
 from postloom.operators.positions import deep_page, positioned
 from postloom.operators.quality import POST_DROP_RULES, POST_WARN_RULES, violations
 from postloom.plans import gold, sentiment
 from postloom.plans.bronze import bronze
+from postloom.plans.bucketed import bucketed_threads, write_thread_tables
 from postloom.plans.nlp import nlp_preprocessed
 from postloom.plans.silver import parsed_posts, silver
 from postloom.plans.tables import build_tables, gold_tables, laid_out, shown, shown_order
 from postloom.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
 from postloom.session import prepare, shared_dir
+from postloom.sinks.keyed_store import KeyedStore
 from postloom.sinks.routing import routed, write_routed
 from postloom.sinks.topic import topic_rows
-from postloom.sources.api_objects import flatten_api_objects
-from postloom.sources.samples import LEXICON, STOP_WORDS, api_objects, messages, table
+from postloom.sinks.zorder import write_zordered
+from postloom.sources.api_objects import flatten_api_objects, flatten_variant_objects, variant_objects
+from postloom.sources.samples import LEXICON, STOP_WORDS, api_objects, api_pages, messages, table
 from postloom.sources.selection import newest_per_keyword, recent_window
 from postloom.sources.tables import read_table_stream
 from postloom.sources.topic import read_stored_topic
+from postloom.streaming.audit import AuditListener, read_audit
 from postloom.streaming.ingest import bronze_stream, silver_stream
-from postloom.streaming.merging import THREAD_BUCKET, merging_stream
+from postloom.streaming.latest import KEY, latest_posts_to_store
+from postloom.streaming.merging import THREAD_BUCKET, THREAD_BUCKETS, merging_stream
 from postloom.streaming.refresh import gold_refresh_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,6 +168,11 @@ def normalise_api_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_api_objects(api_objects(spark, sf_dir))
 
 
+def page_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same objects from result pages, as variants."""
+    return flatten_variant_objects(variant_objects(api_pages(spark, sf_dir)))
+
+
 # All fields of a message; times travel as text.
 TOPIC_FIELDS = [
     "type", "tweet_id", "tweet_url", "keyword", "text", "created_at", "language", "username", "user_id", "user_name", "is_reply",
@@ -206,6 +218,15 @@ def predictions_batch_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentiment.predictions_by_batch(nlp_posts(spark, sf_dir), scoring.lexicon_batch_scorer(LEXICON))
 
 
+def predictions_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document by a model fitted here to all labelled ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = fit_letter_model(docs.join(labels, "doc_id"), "text", "quality")
+    scored = scoring.score_model(with_letter_counts(docs, "text"), model, {0.0: "poor", 1.0: "good"}, "text", "label")
+    return scored.select("doc_id", "label")
+
+
 def sentiment_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown("sentiment_analytics", sentiment.sentiment_analytics(predictions_lexicon(spark, sf_dir)))
 
@@ -483,6 +504,76 @@ def merged(name: str, function: Callable[[DataFrame], DataFrame]) -> Query:
     return query
 
 
+AUDIT_BATCHES = 4
+
+
+def ingest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit rows of a silver stream in four batches, dealt by message number."""
+    base = shared_dir(spark, "audit")
+    sent, files = bronze(messages(spark, sf_dir)), 2
+    for number in range(AUDIT_BATCHES):  # files come in order of the time they were written
+        part = sent.filter(F.col("kafka_offset") % AUDIT_BATCHES == number)
+        part.repartition(files).write.mode("append").parquet(f"{base}/bronze")
+    listener = AuditListener(spark, f"{base}/audit")
+    spark.streams.addListener(listener)
+    try:
+        rows = read_table_stream(spark, f"{base}/bronze", BRONZE_SCHEMA, files_per_trigger=files)
+        query = silver_stream(rows, f"{base}/silver", f"{base}/_silver", available_now=True)
+        query.awaitTermination()
+        if not listener.wait_for(query):
+            raise TimeoutError("the stream's audit rows are not complete")
+    finally:
+        spark.streams.removeListener(listener)
+    return read_audit(spark, f"{base}/audit").drop("query", "started")
+
+
+DEDUPE_FILES = 6
+DEDUPE_MINUTES = 200 * 24 * 60  # longer than the crawls lie apart, in whatever order files come
+
+
+def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last copy of every post, kept by a stream in several batches."""
+    base = shared_dir(spark, "dedupe")
+    repeated_posts(spark, sf_dir).drop("_crawl").repartition(DEDUPE_FILES).write.parquet(f"{base}/posts")
+    rows = read_table_stream(spark, f"{base}/posts", SILVER_SCHEMA, files_per_trigger=2)
+    store = KeyedStore(spark, f"{base}/store", f"{SILVER_SCHEMA}, {KEY} string", KEY)
+    latest_posts_to_store(spark, rows, store, f"{base}/_dedupe", DEDUPE_MINUTES, available_now=True).awaitTermination()
+    return store.read().select("keyword", "tweet_id", "type", "text", "like_count", "kafka_timestamp", "kafka_offset")
+
+
+ZORDER_FILES = 16
+
+
+def zordered_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A week of two keywords out of posts written along a z-curve over day and keyword."""
+    posts = silver_posts(spark, sf_dir).select("keyword", "tweet_id", "type", "text", "created_at", "created_date")
+    base = shared_dir(spark, "zorder")
+    written = write_zordered(posts, f"{base}/posts", ["created_date", "keyword"], ZORDER_FILES)
+    return recent_window(written, CRAWL_DAY, CRAWL_DAYS_BACK, CRAWL_KEYWORDS)
+
+
+def threads_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Threads from tables bucketed by root, joined where they lie."""
+    base = shared_dir(spark, "bucketed")
+    return bucketed_threads(*write_thread_tables(silver_posts(spark, sf_dir), f"threads_{uuid.uuid4().hex}", base, THREAD_BUCKETS))
+
+
+KEYED_BATCHES = 3
+
+
+def keyed_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches of orders upserted by customer, the second one twice and then compacted."""
+    changes = orders_by_customer(spark, sf_dir).select("id", "name", "balance", "seq")
+    store = KeyedStore(spark, f"{shared_dir(spark, 'keyed')}/store", "id bigint, name string, balance double, seq bigint", "id")
+    for number in range(KEYED_BATCHES):
+        batch = changes.filter(F.col("seq") % KEYED_BATCHES == number)
+        store.upsert(batch, number, [F.desc("seq")])
+        if number == 1:
+            store.upsert(batch, number, [F.desc("seq")])
+            store.compact()
+    return store.read().select("id", "name", "balance", "seq")
+
+
 def stored_top_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rankings written and read again, for keywords that are no folder names: empty, digits, and none."""
     odd = F.when(F.col("kafka_offset") % 7 == 1, "").when(F.col("kafka_offset") % 7 == 2, "01").when(F.col("kafka_offset") % 7 == 3, "1")
@@ -548,6 +639,13 @@ QUERIES: dict[str, Query] = {
     "refreshed_reply_stats": refreshed("reply_stats", gold.reply_stats),
     "refreshed_hashtags": refreshed("trending_hashtags", gold.trending_hashtags),
     "stored_top_users": stored_top_users,
+    "zordered_posts": zordered_posts,
+    "threads_bucketed": threads_bucketed,
+    "page_objects": page_objects,
+    "predictions_model": predictions_model,
+    "keyed_store": keyed_store,
+    "ingest_audit": ingest_audit,
+    "stream_dedupe": stream_dedupe,
     "merged_tweet_stats": merged("tweet_stats", gold.tweet_stats),
     "merged_reply_stats": merged("reply_stats", gold.reply_stats),
     "merged_hashtags": merged("trending_hashtags", gold.trending_hashtags),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -138,8 +140,11 @@ def conversation_threads(posts: DataFrame) -> DataFrame:
     return threads_of(_of_type(posts, "tweet"), replies_per_root(posts))
 
 
-def threads_of(tweets: DataFrame, replies: DataFrame) -> DataFrame:
-    """Root posts joined to reply figures by ``tweet_id``; posts without replies get zeros."""
+def threads_of(tweets: DataFrame, replies: DataFrame, join: Callable[..., DataFrame] = lookup_join) -> DataFrame:
+    """Root posts joined to reply figures by ``tweet_id``; posts without replies get zeros.
+
+    ``join`` is another way to join where both sides are laid out for it already.
+    """
     own = tweets.select(
         "keyword",
         "tweet_id",
@@ -154,7 +159,7 @@ def threads_of(tweets: DataFrame, replies: DataFrame) -> DataFrame:
     )
     zero = F.lit(0).cast("bigint")
     from_replies = F.coalesce("replies_total_engagement", zero)
-    return lookup_join(own, replies, ["tweet_id"], "left").select(
+    return join(own, replies, ["tweet_id"], "left").select(
         *own.columns,
         F.coalesce("direct_reply_count", zero).alias("actual_reply_count"),
         F.coalesce("unique_repliers", zero).alias("unique_repliers"),

@@ -125,3 +125,19 @@ def api_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json(F.struct(*always, *sometimes), nulls_kept)
     )
     return fields.select(raw.alias("raw"), "keyword", "root_tweet_id")
+
+
+PAGE_OBJECTS = 20
+
+
+def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result pages of at most ``PAGE_OBJECTS`` objects, and for every fifth a broken copy beside it."""
+    number = F.regexp_extract("raw", "ex[.]org/([0-9]+)", 1).cast("bigint")
+    pages = (
+        api_objects(spark, sf_dir)
+        .withColumn("page", F.floor(number / PAGE_OBJECTS))
+        .groupBy("keyword", "root_tweet_id", "page")
+        .agg(F.concat(F.lit('{"tweets": ['), F.array_join(F.collect_list("raw"), ", "), F.lit('], "has_next_page": true}')).alias("raw"))
+    )
+    copies = F.when(F.col("page") % 5 == 0, F.array("raw", F.concat(F.lit("{"), "raw"), F.lit('{"tweets": []}'))).otherwise(F.array("raw"))
+    return pages.select("keyword", "root_tweet_id", F.explode(copies).alias("raw"))
