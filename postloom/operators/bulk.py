@@ -2,9 +2,9 @@
 
 Whether an action is valid depends on the actions before it on the same key, and one key may own a
 third of the log. So no window ever spans all actions of a key: the log is cut into blocks of
-consecutive sequence numbers, windows run inside (key, block), and only one or two summary rows
-per block meet in the key's own group. Sequence numbers are unique, and blocks are as wide as the
-numbers are sparse, so a block holds about a fixed number of rows whatever the keys are.
+consecutive actions, windows run inside (key, block), and only one or two summary rows per block
+meet in the key's own group. Blocks are cut by position in the log, not by sequence number, so a
+block holds a fixed number of actions whatever the keys and the numbers are.
 """
 
 from __future__ import annotations
@@ -16,29 +16,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postloom.operators.joins import lookup_anti_join
+from postloom.operators.positions import positioned
 
-# Actions per block, on average.
+# Actions per block.
 BLOCK = 100_000
 # The base table enters the log before every action.
 BEFORE_ALL = -(2**63)
 
 
-def block_width(actions: DataFrame, seq: str = "seq") -> int:
-    """Sequence numbers per block: ``BLOCK`` for dense numbers, more for sparse ones such as times."""
-    number = F.col(seq).cast("bigint")
-    first, last, rows = actions.agg(F.min(number), F.max(number), F.count(number)).head()
-    return max(BLOCK, -(-(last - first + 1) * BLOCK // rows)) if rows else BLOCK
-
-
 def _ordered(actions: DataFrame, key: str, seq: str) -> DataFrame:
-    """Actions that have a place in the log: with a key, and with a sequence number of their own."""
-    placed = actions.filter(F.col(key).isNotNull() & F.col(seq).isNotNull())
-    return lookup_anti_join(placed, repeated_seq(placed, seq), [seq])
+    """Actions that have a place in the log (a key, and a sequence number of their own), with that ``_place``.
 
+    The log is written in order once, and all that follows reads it. Places are positions in the
+    whole log, so a block of places is a block of rows however the numbers are spread. Rows that
+    share a number are spread over ranges by a row number; they are refused all the same.
+    """
+    placed = actions.filter(F.col(key).isNotNull() & F.col(seq).isNotNull()).withColumn("_row", F.monotonically_increasing_id())
+    stored = positioned(placed, [F.asc(seq), F.asc("_row")], "_place").drop("_row")
+    return lookup_anti_join(stored, repeated_seq(stored, seq), [seq])
 
-def _judged(
-    base: DataFrame, actions: DataFrame, key: str, columns: Sequence[str], seq: str, block: int
-) -> DataFrame:
+
+def _judged(base: DataFrame, actions: DataFrame, key: str, columns: Sequence[str], seq: str, block: int) -> DataFrame:
     """Log of actions (and of the base rows they touch) with ``_was`` and ``_valid``.
 
     create, index and delete fix whether the key exists afterwards, valid or not: a refused create
@@ -46,8 +44,9 @@ def _judged(
     latest earlier action that is no update.
     """
     touched = base.join(actions.select(key).distinct(), key, "left_semi")
-    log = actions.select(key, F.col(seq).cast("bigint").alias("_seq"), F.col("op").alias("_op"), *columns).unionByName(
-        touched.select(key, F.lit(BEFORE_ALL).alias("_seq"), F.lit("index").alias("_op"), *columns)
+    number = F.col(seq).cast("bigint").alias("_number")
+    log = actions.select(key, F.col("_place").alias("_seq"), number, F.col("op").alias("_op"), *columns).unionByName(
+        touched.select(key, F.lit(BEFORE_ALL).alias("_seq"), F.lit(None).cast("bigint").alias("_number"), F.lit("index").alias("_op"), *columns)
     )
     log = log.withColumns(
         {
@@ -89,14 +88,14 @@ def bulk_rejects(
         (again, "repeated order"),
     ]
     ordered = _ordered(actions, key, seq)
-    judged = _judged(base, ordered, key, [], seq, block or block_width(ordered, seq))
+    judged = _judged(base, ordered, key, [], seq, block or BLOCK)
     reason = (
         F.when(F.col("_op") == "create", "exists")
         .when(F.col("_op").isin("update", "delete"), "missing")
         .otherwise("unknown action")
     )
     refused = judged.filter(~F.col("_valid")).select(
-        F.col("_seq").alias(seq), F.col("_op").alias("op"), key, reason.alias("reason")
+        F.col("_number").alias(seq), F.col("_op").alias("op"), key, reason.alias("reason")
     )
     for rows, why in unplaced:
         refused = refused.unionByName(
@@ -121,7 +120,7 @@ def apply_bulk(
     fold.
     """
     actions = _ordered(actions, key, seq)
-    block = block or block_width(actions, seq)
+    block = block or BLOCK
     valid = _judged(base, actions, key, columns, seq, block).filter("_valid")
     in_block = Window.partitionBy(key, "_block")
     so_far = in_block.orderBy("_seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)

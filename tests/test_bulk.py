@@ -108,14 +108,17 @@ def test_actions_without_a_place_in_the_log_are_listed(spark):
     assert reasons == ["no key", "no key", "no order", "repeated order", "repeated order"]
 
 
-def test_sparse_numbers_share_blocks(spark, monkeypatch):
+def test_blocks_are_of_equal_depth(spark, monkeypatch):
+    """One stray number far from all others makes no block larger; neither do bursts."""
     monkeypatch.setattr(bulk, "BLOCK", 10)
-    actions = [(k * 1_000_000, "index", "hot", f"n{k}", k) for k in range(200)]
+    numbers = [0, *(1_700_000_000_000_000 + k // 50 * 10**9 + k % 50 for k in range(200))]
+    actions = [(n, "index", "hot", f"n{n}", 1) for n in numbers]
     action_df = spark.createDataFrame(actions, ACTION)
-    width = bulk.block_width(action_df)
-    assert len({k * 1_000_000 // width for k in range(200)}) <= 21
+    judged = bulk._judged(spark.createDataFrame([], ROW), bulk._ordered(action_df, "id", "seq"), "id", [], "seq", bulk.BLOCK)
+    sizes = [r["count"] for r in judged.groupBy("_block").count().collect()]
+    assert sum(sizes) == 201 and max(sizes) <= 10
     state, rejects = run(spark, [], actions, None)
-    assert state == {"hot": ("n199", 199)} and rejects == []
+    assert state == {"hot": (f"n{numbers[-1]}", 1)} and rejects == []
 
 
 def test_log_of_json_lines_for_several_tables(spark):
