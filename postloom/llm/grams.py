@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postloom.operators.ranking import top_per_group
+
 
 def gram_counts(parts: list[bytes], dims: int, n: int = 3) -> np.ndarray:
     """Counts of hashed byte ``n``-grams, a row per part; parts shorter than ``n`` count none."""
@@ -35,3 +37,18 @@ def bounded_sample(rows: DataFrame, label: str, key: str, per_label: int) -> Dat
     share = F.create_map(*[F.lit(x) for k, v in sorted(counts.items()) for x in (k, min(1.0, per_label / v))])
     place = F.pmod(F.xxhash64(key), F.lit(1 << 20)) / (1 << 20)
     return rows.filter(place < share[F.col(label)]).limit(2 * per_label * len(counts))
+
+
+def distinct_sample(rows: DataFrame, label: str, text: str, per_label: int) -> DataFrame:
+    """``per_label`` different texts of each label (all, if there are fewer): those with the smallest hashes.
+
+    Copies of a text count once, so however often one is repeated, it takes one place of its label
+    and none of another's. Which texts are taken doesn't depend on the order of rows. Labels must be
+    few: the result is collected by its users, and its size is bounded by their number.
+    """
+    keyed = rows.select(label, text, F.xxhash64(text).alias("_hash"))
+    chosen = top_per_group(keyed.select(label, "_hash").distinct(), [label], [F.asc("_hash")], per_label, ["_hash"])
+    chosen = chosen.select(F.col(label).alias("_label"), F.col("_hash").alias("_chosen"))
+    # At most per_label rows of two values for each label.
+    found = keyed.join(F.broadcast(chosen), (F.col(label) == F.col("_label")) & (F.col("_hash") == F.col("_chosen")), "left_semi")
+    return found.groupBy(label, "_hash").agg(F.min(text).alias(text)).drop("_hash")

@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postloom.llm.grams import bounded_sample, gram_counts
+from postloom.llm.grams import distinct_sample, gram_counts
 
 DIMS = 2048
 PER_LANGUAGE = 250  # training texts a language
@@ -101,14 +101,15 @@ def decide(model: Model, parts: list[bytes]) -> tuple[list[str], np.ndarray]:
 
 
 def fit(rows: DataFrame, text_column: str = "text", label_column: str = "lang", per_language: int = PER_LANGUAGE) -> Model | None:
-    """A model from labelled rows: a sample of at most twice ``per_language`` texts a language.
+    """A model from labelled rows: ``per_language`` different texts of each language, by smallest hash (all, if fewer).
 
-    Rows with a null label, or a text that is null or has no letter, teach nothing.
+    Rows with a null label, or a text that is null or has no letter, teach nothing. A text teaches
+    once, however often it is repeated, so no language loses its place to another's copies.
     """
     letter = regex.compile(r"\p{L}").search
-    known = rows.filter(F.col(label_column).isNotNull() & F.col(text_column).isNotNull())
+    known = rows.filter(F.col(label_column).isNotNull() & F.col(text_column).rlike(r"\p{L}"))
     known = known.select(F.col(text_column).alias("text"), F.col(label_column).alias("label"))
-    sample = sorted(map(tuple, bounded_sample(known, "label", "text", per_language).collect()))
+    sample = sorted(map(tuple, distinct_sample(known, "label", "text", per_language).select("text", "label").collect()))
     sample = [(t, k) for t, k in sample if letter(t)]
     return train([t for t, _ in sample], [k for _, k in sample])
 

@@ -4,7 +4,9 @@ import zlib
 
 import numpy as np
 from postloom.llm import language, quality
+from postloom.llm.grams import distinct_sample
 from postloom.llm.queries import QUERIES
+from pyspark.sql import functions as F
 
 DIR = "/root/testdata/sf0.01"
 
@@ -87,6 +89,22 @@ def test_language_edge_cases(spark):
     assert {r.language for r in language.predict(docs, language.fit(train.limit(0))).collect()} == {"und"}
 
 
+def test_language_keeps_rare_languages_beside_copies(spark):
+    """One English text 6000 times takes one place; both languages are learnt, and every row order gives the same sample."""
+    english = [f"the house number {i} stands near the old river and the town" for i in range(300)]
+    german = [f"das Haus Nummer {i} steht nahe bei dem alten Fluss und der Stadt" for i in range(300)]
+    rows = [(english[0], "en")] * 6000 + [(t, "en") for t in english] + [(t, "de") for t in german] + [("123", "fr"), ("", "de")]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(7)
+    sample = [tuple(r) for r in distinct_sample(docs.select("text", F.col("lang").alias("label")), "label", "text", 50).select("label", "text").collect()]
+    assert len(sample) == len(set(sample)) == 101 and sum(k == "en" for k, _ in sample) == 50
+    again = distinct_sample(docs.repartition(2).select("text", F.col("lang").alias("label")), "label", "text", 50).select("label", "text")
+    assert sorted(map(tuple, again.collect())) == sorted(sample)
+    model = language.fit(docs)
+    assert model.languages == ["de", "en"]
+    told, _ = language.decide(model, [language.plain("der Fluss steht bei dem Haus"), language.plain("the river stands near the house")])
+    assert told == ["de", "en"]
+
+
 def test_codewords_are_far_apart():
     for n in (1, 2, 3, 4, 5, 9, 30):
         codes = language.codewords(n)
