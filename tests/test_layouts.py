@@ -11,6 +11,7 @@ from postloom.operators.letters import fit_letter_model, with_letter_counts
 from postloom.operators.scoring import score_model
 from postloom.plans import gold
 from postloom.plans.bucketed import bucketed_threads, write_thread_tables
+from postloom.sinks.keyed_store import KeyedStore
 from postloom.sinks.zorder import interleaved, write_zordered
 from postloom.sources.api_objects import flatten_variant_objects, variant_objects
 from pyspark.sql import functions as F
@@ -83,3 +84,27 @@ def test_letter_model(spark):
     scored = score_model(with_letter_counts(docs.drop("label"), "text"), model, {0.0: "b", 1.0: "a"}, "text", "found")
     got = {r.id: r.found for r in scored.collect()}
     assert [got[i] for i in range(1, 7)] == ["a", "b", "a", "b", None, None] and got[7] in ("a", "b")
+
+
+def test_keyed_store_reads_and_folds_given_buckets(spark, tmp_path):
+    store = KeyedStore(spark, str(tmp_path), "id bigint, v string", "id", buckets=4)
+    batch = lambda rows: spark.createDataFrame(rows, "id long, v string")
+    first = [F.asc("v")]
+    assert store.read().collect() == [] and store.compact() is None
+    store.upsert(batch([(i, "a") for i in range(40)] + [(None, "n"), (3, "b")]), 0, first)
+    bucket = {r.id: r.b for r in batch([(i, "") for i in range(40)]).select("id", store._bucket().alias("b")).collect()}
+    store.compact([bucket[3]])
+    folders = {p.name for p in (tmp_path / "snapshot").rglob("_bucket=*")}
+    assert folders == {f"_bucket={bucket[3]}"}
+    store.upsert(batch([(3, "c"), (4, "c"), (99, "new")]), 1, first)
+    store.upsert(batch([(3, "c"), (4, "c"), (99, "new")]), 1, first)
+    expected = {i: "a" for i in range(40)} | {None: "n", 3: "c", 4: "c", 99: "new"}
+    assert {r.id: r.v for r in store.read().collect()} == expected
+    store.compact([bucket[3]])
+    store.compact()
+    store.compact()
+    assert {r.id: r.v for r in store.read().collect()} == expected
+    found = store.lookup(batch([(3, ""), (3, ""), (1000, "")]))
+    assert [tuple(r) for r in found.collect()] == [(3, "c")]
+    plan = store.read([1])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_bucket" in plan or "(_bucket" in plan.partition("PartitionFilters")[2]
