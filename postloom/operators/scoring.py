@@ -28,17 +28,31 @@ def score_rows(
     failed call said (null where none failed), so that failures can be counted.
     """
 
-    @F.pandas_udf("label string, error string")
-    def call(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def scored(batches: Iterator[pd.Series]) -> Iterator[tuple[list[str | None], list[str | None]]]:
         score = scorer() if factory else scorer
         for texts in batches:
-            rows: list[tuple[str | None, str | None]] = []
-            for value in texts:
+            labels: list[str | None] = [None] * len(texts)
+            errors: list[str | None] = [None] * len(texts)
+            for place, value in enumerate(texts):
                 try:
-                    rows.append((score(value) if value else None, None))
+                    labels[place] = score(value) if value else None
                 except Exception as failure:
-                    rows.append((None, repr(failure)))
-            yield pd.DataFrame(rows, columns=["label", "error"], dtype=object)
+                    errors[place] = repr(failure)
+            yield labels, errors
+
+    if error is None:
+
+        @F.pandas_udf("string")
+        def label_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for labels, _ in scored(batches):
+                yield pd.Series(labels, dtype=object)
+
+        return df.withColumn(label, label_of(text))
+
+    @F.pandas_udf("label string, error string")
+    def call(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for labels, errors in scored(batches):
+            yield pd.DataFrame({"label": labels, "error": errors}, dtype=object)
 
     return _labelled(df, call(text), label, error)
 
