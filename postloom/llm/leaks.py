@@ -209,7 +209,7 @@ def _tables(index: Index) -> tuple:
 
 def _searched(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index: Index = shared.value
+        index = Index(**shared.value)
         tables = _tables(index)
         names = ["id", "item_id", "edits", "start", "stop", "pieces", "all_pieces"]
         for batch in batches:
@@ -254,7 +254,7 @@ def _indexes(benchmark: DataFrame, rate: float) -> Iterator:
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         index = build_index(sorted((r.item_id, r.text) for r in part.collect()), rate)
         if index.items:
-            yield spark.sparkContext.broadcast(index)
+            yield spark.sparkContext.broadcast(vars(index))  # plain arrays: workers need no class to read them
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE, text_column: str = "text") -> DataFrame:
@@ -262,7 +262,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE
 
     def clean(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index: Index = shared.value
+            index = Index(**shared.value)
             tables = _tables(index)
             for batch in batches:
                 keep = np.ones(batch.num_rows, dtype=bool)
