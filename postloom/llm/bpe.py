@@ -1,9 +1,11 @@
 """Byte-level BPE: merges by rank over the byte arrays of distinct words, and decoding.
 
 Texts are cut into words in Python, a bounded stretch of documents at a time, and each stretch lists
-its distinct words once, as arrays of byte values. Spark's array functions then fold the ranked
-merges over them, looking pairs up in a literal rank map. Last, the words' ids are laid out per
-document. There is no shuffle; a lost task is simply run again.
+its distinct words once. Spark's array functions fold the ranked merges over words as arrays of byte
+values, looking pairs up in a literal rank map. Words that the most stretches hold are counted and
+folded beforehand, once for the whole corpus, and handed to all tasks, at most ``HEAD_WORDS`` of them;
+the others are folded where they stand. Last, the words' ids are laid out per document. Only distinct
+words are shuffled; a lost task is simply run again.
 """
 
 from __future__ import annotations
@@ -20,8 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postloom.llm.tables import stored
+
 STRETCH_BYTES = 32 << 20  # text per stretch; a longer document is a stretch of its own
 STRETCH_WORDS = 250_000  # distinct words per stretch, likewise
+HEAD_WORDS = 500_000  # words folded once for all; of at most FOLD_BYTES, so some tens of MB at most
+HEAD_TASK_WORDS = 20_000
 FOLD_BYTES = 128  # longer words are merged by a heap, in n log n steps instead of n squared
 PRIMES = (200_003, 180_001)  # sizes of the two tables of the rank map
 ID_BITS = 20
@@ -176,27 +182,95 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
-def _stretches(pattern: str, quick_pattern: str | None):
-    """Documents ``(id, text)`` to stretches: ids, each document's words as indices, and the distinct words."""
+def _cutter(pattern: str, quick_pattern: str | None):
+    """A function from a text to its words."""
+    import regex
+
+    words_of = regex.compile(pattern).findall
+    quickly = re.compile(quick_pattern).findall if quick_pattern else words_of
+    others = re.compile(f"[^{QUICK}]").search
+    return lambda text: words_of(text) if others(text) else quickly(text)
+
+
+def _listed_words(pattern: str, quick_pattern: str | None):
+    """Texts to the distinct words of each stretch that are short enough to fold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
+        cut = _cutter(pattern, quick_pattern)
+
+        def rows(words: set[str]) -> pa.RecordBatch:
+            listed = [w.encode("utf-8", "surrogatepass") for w in words]
+            return pa.RecordBatch.from_arrays([pa.array([w for w in listed if len(w) <= FOLD_BYTES], pa.binary())], ["word"])
+
+        words: set[str] = set()
+        for batch in batches:
+            for text in batch.column(0):
+                if len(words) > STRETCH_WORDS:
+                    yield rows(words)
+                    words = set()
+                words.update(cut(text.as_py() or ""))
+        yield rows(words)
+
+    return run
+
+
+def _as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words beside their byte values."""
+    for batch in batches:
+        words = batch.column(0).to_pylist()
+        ends = np.cumsum([0] + [len(w) for w in words], dtype=np.int32)
+        values = np.frombuffer(b"".join(words), dtype=np.uint8).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], ["word", "bytes"])
+
 
-        words_of = regex.compile(pattern).findall
-        quickly = re.compile(quick_pattern).findall if quick_pattern else None
-        others = re.compile(f"[^{QUICK}]").search
+def head_words(texts: DataFrame, pattern: str, quick_pattern: str | None, folded) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
+    """Words that most stretches hold: their numbers, where each one's ids begin, and all ids one after another.
+
+    ``folded`` is a function from a column of arrays of byte values to one of arrays of ids. Words are
+    taken by the number of stretches, in tiers that are taken whole, up to ``HEAD_WORDS``; a word of one
+    stretch is left to it.
+    """
+    found = texts.mapInArrow(_listed_words(pattern, quick_pattern), "word binary")
+    counted = stored(found.groupBy("word").agg(F.count("*").alias("n")).filter("n > 1"), "words")
+    tier = F.floor(F.log2("n") * 8)
+    sizes = {r[0]: r[1] for r in counted.groupBy(tier).count().collect()}  # some hundred rows
+    lowest, held = None, 0
+    for t in sorted(sizes, reverse=True):
+        if held + sizes[t] > HEAD_WORDS:
+            break
+        lowest, held = t, held + sizes[t]
+    if lowest is None:
+        return {}, np.zeros(1, dtype=np.int64), np.zeros(0, dtype="<u4")
+    spread = counted.filter(tier >= lowest).select("word").repartition(1 + held // HEAD_TASK_WORDS, "word")
+    rows = spread.mapInArrow(_as_bytes, "word binary, bytes array<int>").select("word", folded(F.col("bytes")).alias("ids")).toArrow()
+    ids = rows["ids"].combine_chunks()
+    first = np.append(0, np.cumsum(ids.value_lengths().to_numpy(), dtype=np.int64))
+    flat = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4")
+    return {w: i for i, w in enumerate(rows["word"].to_pylist())}, first, flat
+
+
+def _stretches(pattern: str, quick_pattern: str | None, head_shared):
+    """Documents ``(id, text)`` to stretches: ids, each document's words as indices, and the distinct words.
+
+    A word's number in the head stands in ``heads``, or -1; the bytes of words of the head are left out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut, head = _cutter(pattern, quick_pattern), head_shared.value[0]
 
         def row(ids: list, places: list[bytes], index: dict[str, int]) -> pa.RecordBatch:
             words = [w.encode("utf-8", "surrogatepass") for w in index]
-            short = [w if len(w) <= FOLD_BYTES else b"" for w in words]
+            heads = [head.get(w, -1) for w in words]
+            short = [w if h < 0 and len(w) <= FOLD_BYTES else b"" for w, h in zip(words, heads, strict=True)]
             ends = np.cumsum([0] + [len(w) for w in short], dtype=np.int32)
             values = np.frombuffer(b"".join(short), dtype=np.uint8).astype(np.int32)
             folded = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
             long = pa.array([[(i, w) for i, w in enumerate(words) if len(w) > FOLD_BYTES]], _LONG)
             one = pa.array([0, len(words)], pa.int32())
             return pa.RecordBatch.from_arrays(
-                [pa.array([ids], pa.list_(id_type)), pa.array([places], pa.list_(pa.binary())), pa.ListArray.from_arrays(one, folded), long],
-                ["ids", "places", "words", "long"],
+                [pa.array([ids], pa.list_(id_type)), pa.array([places], pa.list_(pa.binary())), pa.ListArray.from_arrays(one, folded), long,
+                 pa.array([np.array(heads, dtype="<i4").tobytes()], pa.binary())],
+                ["ids", "places", "words", "long", "heads"],
             )
 
         id_type, ids, places, size = None, [], [], 0
@@ -210,7 +284,6 @@ def _stretches(pattern: str, quick_pattern: str | None):
                     yield row(ids, places, index)
                     ids, places, size = [], [], 0
                     index.clear()
-                cut = quickly if quickly and not others(text) else words_of
                 found = list(map(index.__getitem__, cut(text)))
                 places.append(np.array(found, dtype="<u4").tobytes())
                 ids.append(key.as_py())
@@ -224,21 +297,27 @@ def _stretches(pattern: str, quick_pattern: str | None):
 _LONG = pa.list_(pa.struct([("at", pa.int32()), ("word", pa.binary())]))
 
 
-def _laid_out(ranks_shared, with_ids: bool):
+def _laid_out(ranks_shared, head_shared, with_ids: bool):
     """Stretches with their words' ids to rows ``(id, n_tokens, ids, ids_sha256, decoded_sha256)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = [b""] * (max(ranks_shared.value.values()) + 1)
         for piece, rank in ranks_shared.value.items():
             pieces[rank] = piece
+        _, head_first, head_flat = head_shared.value
         for batch in batches:
             for r in range(batch.num_rows):
-                keys, places, long, words = (batch.column(c).slice(r, 1) for c in range(4))
+                keys, places, long, heads, words = (batch.column(c).slice(r, 1) for c in range(5))
                 folded = words.flatten()
                 flat = folded.flatten().to_numpy(zero_copy_only=False).astype("<u4")
                 sizes = np.diff(folded.offsets.to_numpy())
                 parts = {x["at"]: merge_long(x["word"], ranks_shared.value) for x in long[0].as_py()}
                 first = np.cumsum(sizes) - sizes
+                number = np.frombuffer(heads[0].as_buffer(), dtype="<i4")
+                known = number >= 0
+                first[known] = len(flat) + head_first[number[known]]
+                sizes[known] = head_first[number[known] + 1] - head_first[number[known]]
+                flat = np.append(flat, head_flat)
                 for at, ids in parts.items():  # words too long to fold stand behind the others
                     first[at], sizes[at] = len(flat), len(ids)
                     flat = np.append(flat, np.array(ids, dtype="<u4"))
@@ -293,17 +372,23 @@ def encode(
     """
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    stretches = rows.mapInArrow(
-        _stretches(pattern, quick_pattern),
-        f"ids array<{kind}>, places array<binary>, words array<array<int>>, long array<struct<at int, word binary>>",
-    )
     # The literals stand in the plan once; within, they go by a variable's name.
     literals = F.array(F.struct(rank_map(ranks).alias("pairs"), byte_map(ranks).alias("bytes")))
+
+    def one(word: Column) -> Column:
+        return F.get(F.transform(literals, lambda t: fold_merges(word, t["pairs"], t["bytes"])), F.lit(0))
+
+    share = docs.sparkSession.sparkContext.broadcast
+    head = share(head_words(rows.select("text"), pattern, quick_pattern, one))
+    stretches = rows.mapInArrow(
+        _stretches(pattern, quick_pattern, head),
+        f"ids array<{kind}>, places array<binary>, words array<array<int>>, long array<struct<at int, word binary>>, heads binary",
+    )
     words = F.transform(literals, lambda t: F.transform("words", lambda word: fold_merges(word, t["pairs"], t["bytes"])))
-    folded = stretches.select("ids", "places", "long", F.get(words, F.lit(0)).alias("words"))
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    folded = stretches.select("ids", "places", "long", "heads", F.get(words, F.lit(0)).alias("words"))
+    shared = share(ranks)
     schema = f"id {kind}, n_tokens bigint, " + "ids array<int>, " * with_ids + "ids_sha256 string, decoded_sha256 string"
-    return folded.mapInArrow(_laid_out(shared, with_ids), schema)
+    return folded.mapInArrow(_laid_out(shared, head, with_ids), schema)
 
 
 def decode_ids(ids: np.ndarray, pieces: list[bytes]) -> bytes:

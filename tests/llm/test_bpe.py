@@ -38,8 +38,10 @@ def test_whole_table(spark, sf_dir, library):
     assert {tuple(r) for r in QUERIES["op6_bpe"](spark, sf_dir).collect()} == expected(library, rows)
 
 
-def test_edge_cases(spark, ranks, library, monkeypatch):
+@pytest.mark.parametrize("head", [0, 30, 500_000])
+def test_edge_cases(spark, ranks, library, monkeypatch, head):
     monkeypatch.setattr(bpe, "STRETCH_WORDS", 300)
+    monkeypatch.setattr(bpe, "HEAD_WORDS", head)
     rng = random.Random(3)
     texts = [None, "", " ", "  \n\n x", "it's we'LL 'twas", "a" * 5000, "ab" * 64, "ab" * 65, "日本語 текст ١٢٣ ²½", "<|endoftext|>", "👩‍👩‍👧 é é"]
     texts += ["".join(chr(c) for c in range(lo, lo + 200) if not 0xD800 <= c < 0xE000) for lo in range(0, 0x3200, 200)]
