@@ -5,16 +5,21 @@ filed four times, rotated to begin with each quarter in turn, and every first qu
 its own. Within a trie, pairs of nodes go down together: the bits in which they differ add up, and a
 pair is dropped once its sum exceeds the budget. Tries of over ``TRIE_ROWS`` fingerprints are cut
 into blocks, and each pair of blocks is a task's work of its own; no trie is left out or cut short.
+
+``near_copies`` does the same at a similarity of shingle sets: fingerprints are ``WIDE`` words long and
+filed ``TURNS`` times, by ``PREFIX`` bits each; a traversal may differ in more bits of the 64 from there
+on, and a leaf counts by the bits in which whole fingerprints differ.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postloom.llm.components import connected_components, local_components
@@ -28,6 +33,13 @@ TRIE_ROWS = 4096
 CHUNK_ROWS = 60_000
 FRONTIER = 1 << 20
 
+COPY_WORDS = 5
+SIMILARITY = 0.8  # Jaccard of two texts' sets of shingles
+WIDE = 8  # 64-bit words of a fingerprint
+TURNS = 18  # stretches of PREFIX bits by which a fingerprint is filed
+PREFIX = 14  # bits that select a trie; two texts at the similarity agree in one of TURNS stretches with 0.85
+PASSES = (1, 2, 4, 7, 11)  # budgets of the traversals, for the 64 bits from a trie's first on
+
 
 def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     """64-bit SimHash of a text's word shingles as an unsigned number; 0 for a text without words."""
@@ -61,12 +73,45 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     return rows.mapInArrow(run, f"id {kind}, fp bigint")
 
 
-def trie_links(values: np.ndarray, starts: np.ndarray, skip: int, budget: int = BUDGET) -> np.ndarray:
-    """Local component of every value; equal components are linked by steps of at most ``budget`` bits.
+def wide_fingerprint(text: str | None) -> np.ndarray:
+    """SimHash of ``WIDE`` words over a text's set of ``COPY_WORDS``-word shingles; zeros for a text without words."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.zeros(WIDE, dtype=np.uint64)
+    many = max(len(words) - COPY_WORDS + 1, 1)
+    shingles = map(b" ".join, zip(*(words[i : i + many] for i in range(min(COPY_WORDS, len(words)))), strict=True))
+    digest = xxhash.xxh64_intdigest
+    hashes = np.unique(np.array([digest(s, SEED) for s in shingles], dtype=np.uint64))
+    ones = np.zeros(64 * WIDE, dtype=np.int64)
+    for lo in range(0, len(hashes), 16_384):
+        x = hashes[lo : lo + 16_384, None] + np.arange(1, WIDE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        ones += np.unpackbits(x.astype(">u8").view(np.uint8).reshape(-1, 8 * WIDE), axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(hashes)).view(">u8").astype(np.uint64)
+
+
+def most_apart(similarity: float) -> int:
+    """Bits in which wide fingerprints of texts at this similarity differ on average."""
+    return round(64 * WIDE * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+
+
+def trie_links(
+    values: np.ndarray,
+    starts: np.ndarray,
+    skip: int,
+    passes: Sequence[int] = range(1, BUDGET + 1),
+    whole: np.ndarray | None = None,
+    most: int = 0,
+) -> np.ndarray:
+    """Local component of every value; equal components are linked by steps of at most the last pass's bits.
+
+    With ``whole`` a step is instead one of at most ``most`` bits between the rows of ``whole``.
 
     ``values`` (unsigned, ascending within each trie, all distinct there) holds several tries, which
     begin at ``starts``; the first ``skip`` bits are the same throughout a trie. The traversal runs
-    with budgets 1, 2, 3 in turn, and leaves out pairs of nodes whose leaves already form one
+    with the budgets of ``passes`` in turn, and leaves out pairs of nodes whose leaves already form one
     component, so a dense group of near copies isn't compared pair by pair.
     """
     n = len(values)
@@ -82,7 +127,7 @@ def trie_links(values: np.ndarray, starts: np.ndarray, skip: int, budget: int =
             sums[level] = np.append(0, np.cumsum(bit.astype(np.int64)))
         return sums[level]
 
-    for allowed in range(1, budget + 1):
+    for allowed in passes:
         breaks = np.append(0, np.cumsum(label[1:] != label[:-1]))
         found: list[np.ndarray] = []
         # A stack of frontiers: rows are first node (lo, hi), second node (lo, hi), differing bits.
@@ -97,7 +142,11 @@ def trie_links(values: np.ndarray, starts: np.ndarray, skip: int, budget: int =
             pairs = pairs[:, ~(one & (label[pairs[0]] == label[pairs[2]]))]
             leaves = (pairs[1] - pairs[0] == 1) & (pairs[3] - pairs[2] == 1)
             a, b = pairs[0, leaves], pairs[2, leaves]
-            near = np.bitwise_count(values[a] ^ values[b]) <= allowed
+            if whole is None:
+                near = np.bitwise_count(values[a] ^ values[b]) <= allowed
+            else:
+                bits = (np.bitwise_count(column[a] ^ column[b]).astype(np.int64) for column in whole.T)
+                near = sum(bits, np.zeros(len(a), dtype=np.int64)) <= most
             found.append(np.stack([a[near], b[near]]))
             pairs = pairs[:, ~leaves]
             if level == 64 or not pairs.shape[1]:
@@ -186,6 +235,98 @@ def fingerprint_links(reps: DataFrame) -> DataFrame:
     return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_links_of_tries, "a bigint, b bigint")
 
 
+def _stretch_from(wide: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """64 bits of each row of ``wide`` from its place ``at`` on, cyclically."""
+    row, word, bit = np.arange(len(wide)), at // 64, (at % 64).astype(np.uint64)
+    low = wide[row, (word + 1) % WIDE] >> np.uint64(1) >> (np.uint64(63) - bit)
+    return (wide[row, word] << bit) | low
+
+
+def _copies_of_tries(most: int):
+    """Links ``(a, b)`` between representatives, from rows ``(key, turn, w0 .., rep)`` in order of key."""
+
+    def solve(key: np.ndarray, turn: np.ndarray, wide: np.ndarray, rep: np.ndarray) -> pa.RecordBatch:
+        value = _stretch_from(wide, turn * PREFIX)
+        order = np.lexsort((value, key))
+        key, value, wide, rep = key[order], value[order], wide[order], rep[order]
+        # Rows equal in all 64 bits are linked at once; the first stands for them in the trie.
+        new = np.append(True, (key[1:] != key[:-1]) | (value[1:] != value[:-1]))[: len(key)]
+        head = np.flatnonzero(new)
+        group = np.cumsum(new) - 1
+        own = key[head]
+        starts = np.flatnonzero(np.append(True, own[1:] != own[:-1])[: len(own)])
+        label = head[trie_links(value[head], starts, PREFIX, PASSES, wide[head], most)][group]
+        linked = np.flatnonzero(label != np.arange(len(label)))
+        return pa.RecordBatch.from_arrays([pa.array(rep[label[linked]]), pa.array(rep[linked])], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        rows = 0
+        for batch in batches:
+            key, turn, *words, rep = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            held.append((key, turn, np.column_stack(words).view(np.uint64), rep))
+            rows += len(key)
+            if rows >= CHUNK_ROWS:
+                parts = [np.concatenate(x) for x in zip(*held, strict=True)]
+                cut = int(np.searchsorted(parts[0], parts[0][-1]))  # the last trie may go on in the next batch
+                if cut:
+                    yield solve(*(x[:cut] for x in parts))
+                held, rows = [tuple(x[cut:] for x in parts)], len(parts[0]) - cut
+        if rows:
+            yield solve(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    return run
+
+
+def copy_links(reps: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links ``(a, b)`` that connect ``reps (w0 .., rep)``, distinct wide fingerprints, at the similarity."""
+    words = [f"w{i}" for i in range(WIDE)]
+
+    def prefix(turn: int) -> Column:
+        word, bit = divmod(turn * PREFIX, 64)
+        from_bit = F.shiftleft(words[word], bit)
+        if bit:
+            from_bit = from_bit.bitwiseOR(F.shiftrightunsigned(words[(word + 1) % WIDE], 64 - bit))
+        return F.shiftrightunsigned(from_bit, 64 - PREFIX)
+
+    filed = reps.select("*", F.posexplode(F.array(*(prefix(t) for t in range(TURNS)))).alias("turn", "prefix"))
+    filed = filed.withColumn("trie", F.col("turn").cast("bigint") * (1 << PREFIX) + F.col("prefix")).drop("prefix")
+    # At most 18 x 16,384 rows of two numbers, whatever the input: safe to broadcast.
+    large = filed.groupBy("trie").count().filter(F.col("count") > TRIE_ROWS)
+    large = large.select("trie", F.ceil(2 * F.col("count") / TRIE_ROWS).cast("int").alias("blocks"))
+    filed = filed.join(F.broadcast(large), "trie", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    own = F.pmod(F.xxhash64(*words), F.col("blocks")).cast("int")
+    pair = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda other: F.least(own, other) * F.col("blocks").cast("bigint") + F.greatest(own, other),
+    )
+    keyed = filed.select("turn", *words, "rep", "trie", F.explode(pair).alias("pair"))
+    keyed = keyed.select((F.col("pair") * (32 << PREFIX) + F.col("trie")).alias("key"), "turn", *words, "rep")
+    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_copies_of_tries(most_apart(similarity)), "a bigint, b bigint")
+
+
+def near_copies(docs: DataFrame, similarity: float = SIMILARITY, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``(id, component)`` for every row: the smallest id reachable by steps of similar sets of five-word shingles.
+
+    The similarity is judged by the bits in which wide fingerprints differ, so near the threshold some
+    pairs fall on the other side. Nulls, empty texts, repeated rows and tables are as in ``near_duplicates``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wide = np.array([wide_fingerprint(t.as_py()) for t in batch.column(1)], dtype=np.uint64).reshape(-1, WIDE).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(w.copy()) for w in wide.T)], ["id", *words])
+
+    words = [f"w{i}" for i in range(WIDE)]
+    rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).cast("string").alias("text"))
+    fps = stored(rows.mapInArrow(run, "id bigint, " + ", ".join(f"{w} bigint" for w in words)), "wide-fingerprints")
+    reps = stored(fps.groupBy(*words).agg(F.min("id").alias("rep")).filter("rep IS NOT NULL"), "representatives")
+    # A link's ends are ids; a repeated id with two texts joins them, as its rows are one document.
+    found = connected_components(copy_links(reps, similarity))
+    classes = reps.join(found, F.col("rep") == F.col("node"), "left").select(*words, F.coalesce("component", "rep").alias("component"))
+    return fps.join(classes, words, "left").select("id", "component")
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``id``, ``fp`` (bigint) and ``component`` (smallest id reachable).
 
@@ -204,11 +345,11 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of near duplicates: the one with the smallest id.
+    """``docs`` with one row of each group of ``near_copies``: the one with the smallest id.
 
     Rows that repeat an id are one row. Rows with a null id can't be told apart, and all stay.
     """
-    found = stored(near_duplicates(docs, id_column, text_column), "near-duplicates")
+    found = stored(near_copies(docs, SIMILARITY, id_column, text_column), "near-duplicates")
     later = found.filter("id <> component").select(F.col("id").alias(id_column)).distinct()
     kept = docs.join(later, id_column, "left_anti").select(docs.columns)
     if found.filter("id IS NOT NULL").groupBy("id").count().filter("count > 1").isEmpty():

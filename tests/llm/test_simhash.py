@@ -81,3 +81,59 @@ def test_components_of_paths_and_hubs(spark):
     ends = {x for a, b in edges if a and a != b for x in (a, b)}
     assert got == smallest_reachable(ends, [(a, b) for a, b in edges if a and a != b])
     assert local_components(4, np.array([3, 1]), np.array([1, 2])).tolist() == [0, 1, 1, 1]
+
+
+def shingle_set(text):
+    words = re.findall("[^\x20\x09-\x0d]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return frozenset(" ".join(words[i : i + 5]) for i in range(max(len(words) - 4, 1 if words else 0)))
+
+
+def similarity(a, b):
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def similar_pairs(rows, least):
+    """Brute force over all pairs ``(a, b, similarity)`` of at least ``least``."""
+    sets = [(i, shingle_set(t)) for i, t in rows]
+    return [(a, b, s) for k, (a, x) in enumerate(sets) for b, y in sets[:k] if (s := similarity(x, y)) >= least]
+
+
+def test_near_copies_against_brute_force(spark):
+    """Steps at the similarity are found; nothing far below it is linked."""
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    got = {r.id: r.component for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    pairs = similar_pairs(rows, 0.5)
+    wanted = [got[a] == got[b] for a, b, s in pairs if s >= 0.8]
+    assert len(wanted) > 90 and sum(wanted) >= 0.95 * len(wanted)
+    assert all(got[a] == got[b] for a, b, s in pairs if s == 1)
+    loose = smallest_reachable(sorted(got), [(a, b) for a, b, s in pairs])
+    assert all(loose[k] == loose[c] for k, c in got.items())
+
+
+def test_near_copies_of_one_text(spark, monkeypatch):
+    """A group of edited copies over several blocks of its tries, beside texts of their own."""
+    monkeypatch.setattr(simhash, "TRIE_ROWS", 64)
+    rng = np.random.default_rng(7)
+    base = [f"w{x}" for x in rng.integers(0, 5000, 400)]
+
+    def edited(k):
+        words = list(base)
+        for at in rng.integers(0, 400, 3):
+            words[at] = f"new{k}"
+        return " ".join(words)
+
+    rows = [(k, edited(k)) for k in range(600)]
+    rows += [(k, " ".join(f"w{x}" for x in rng.integers(0, 5000, 300))) for k in range(600, 900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: r.component for r in simhash.near_copies(docs).collect()}
+    assert sum(got[k] == 0 for k in range(600)) >= 594
+    assert all(got[k] == k for k in range(600, 900))
+
+
+def test_near_copies_edge_cases(spark):
+    texts = [None, "", " \t\n", "one", "ONE", "one two", "a b c d", "a b c d", "x " * 50_000]
+    rows = [(i, t, "clash", 1) for i, t in enumerate(texts)] + [(3, "one", "", 2), (None, "one", "", 2), (None, "alone", "", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component string, w0 int")
+    got = {(r.id, r.component) for r in simhash.near_copies(docs).collect()}
+    assert got == {(0, 0), (1, 0), (2, 0), (3, 3), (4, 3), (5, 5), (6, 6), (7, 6), (8, 8), (None, 3), (None, None)}
+    assert simhash.near_copies(docs.limit(0)).collect() == []
