@@ -256,7 +256,7 @@ def _stretches(pattern: str, quick_pattern: str | None, head_shared):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, head = _cutter(pattern, quick_pattern), head_shared.value[0]
+        cut, head = _cutter(pattern, quick_pattern), head_shared.value
 
         def row(ids: list, places: list[bytes], index: dict[str, int]) -> pa.RecordBatch:
             words = [w.encode("utf-8", "surrogatepass") for w in index]
@@ -304,7 +304,7 @@ def _laid_out(ranks_shared, head_shared, with_ids: bool):
         pieces = [b""] * (max(ranks_shared.value.values()) + 1)
         for piece, rank in ranks_shared.value.items():
             pieces[rank] = piece
-        _, head_first, head_flat = head_shared.value
+        head_first, head_flat = head_shared.value
         for batch in batches:
             for r in range(batch.num_rows):
                 keys, places, long, heads, words = (batch.column(c).slice(r, 1) for c in range(5))
@@ -379,9 +379,10 @@ def encode(
         return F.get(F.transform(literals, lambda t: fold_merges(word, t["pairs"], t["bytes"])), F.lit(0))
 
     share = docs.sparkSession.sparkContext.broadcast
-    head = share(head_words(rows.select("text"), pattern, quick_pattern, one))
+    words_at, *head_ids = head_words(rows.select("text"), pattern, quick_pattern, one)
+    numbers, head = share(words_at), share(head_ids)
     stretches = rows.mapInArrow(
-        _stretches(pattern, quick_pattern, head),
+        _stretches(pattern, quick_pattern, numbers),
         f"ids array<{kind}>, places array<binary>, words array<array<int>>, long array<struct<at int, word binary>>, heads binary",
     )
     words = F.transform(literals, lambda t: F.transform("words", lambda word: fold_merges(word, t["pairs"], t["bytes"])))
