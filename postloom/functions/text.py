@@ -26,10 +26,13 @@ def clean_text(text: Column) -> Column:
     and ``don't`` becomes ``dont``. Single letters are removed last and leave their blanks behind,
     so the result may hold several blanks in a row or at its ends.
     """
-    out = F.lower(F.coalesce(text, F.lit("")))
+    lowered = F.lower(F.coalesce(text, F.lit("")))
+    out = lowered
     # Escapes that arrived as two characters; a real tab or newline is an ordinary blank.
     for escape, instead in (("\\t", " "), ("\\n", " "), ("\\u", ""), ("\\", "")):
         out = F.replace(out, F.lit(escape), F.lit(instead))
+    # Most texts hold none, and finding that out is cheap.
+    out = F.when(F.contains(text, F.lit("\\")), out).otherwise(lowered)
     # Most texts hold no link, and finding that out is cheap.
     out = F.when(F.contains(out, F.lit("://")), F.regexp_replace(out, MARKS_AND_LINKS, " ")).otherwise(
         F.regexp_replace(out, MARKS, " ")

@@ -94,8 +94,14 @@ def _labelled(df: DataFrame, scored: Column, label: str, error: str | None) -> D
 
 
 def score_lexicon(df: DataFrame, lexicon: Mapping[str, int], text: str, label: str) -> DataFrame:
-    """Sign of the summed word weights, as a native expression."""
-    return df.withColumn(label, sentiment.lexicon_label(F.col(text), lexicon))
+    """Sign of the summed word weights, as a native expression.
+
+    Each text is cleaned and scored once: a filter on the label cannot move below a generator, as it
+    would below a projection, where it would clean and score the text again.
+    """
+    keep = [c for c in df.columns if c != label]
+    scored = F.struct(sentiment.lexicon_label(F.col(text), lexicon).alias(label))
+    return df.select(*keep, F.inline(F.array(scored)))
 
 
 def score_model(
