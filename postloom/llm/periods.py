@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 MIN_EXPONENT = 4
 MIN_WORDS = 6
 SMALL = 3
-CHUNK_WORDS = 1 << 19
+CHUNK_WORDS = 1 << 17
 # Two primes below 2^31 and a base for each.
 MODULI = ((2147483647, 1000003), (2147483629, 998244353))
 NONE = np.uint64(2**64 - 1)
@@ -150,7 +150,9 @@ def _proposed_runs(words: np.ndarray, h: WindowHashes, t: int, periodic: np.ndar
     end = at + d + _equal_ahead(h, at, at + d, n)
     long = end - start >= 3 * d
     at, start, end, d = at[long], start[long], end[long], d[long]
-    for k in np.flatnonzero(~_holds(words, start, end, d)):
+    # Each period of a run proposes the whole run; it is compared once.
+    distinct, group = np.unique(np.stack([start, end, d]), axis=1, return_inverse=True)
+    for k in np.flatnonzero(~_holds(words, *distinct)[group.ravel()]):
         start[k], end[k] = _exact_stretch(words, int(at[k]), int(d[k]))
     found = np.stack([start, end, d])[:, end - start >= 3 * d]
     return np.unique(found, axis=1)

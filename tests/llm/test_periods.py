@@ -151,3 +151,19 @@ def test_edge_cases(spark, tmp_path, monkeypatch, chunk):
     got = [tuple(r) for r in QUERIES["op11_periods"](spark, str(tmp_path)).collect()]
     assert sorted(got, key=str) == sorted((expected_row(*r) for r in rows), key=str)
     assert periods.periodic_runs(docs.limit(0)).collect() == []
+
+
+def test_a_run_is_compared_once(monkeypatch):
+    """Not once for each of its periods: that would take memory in the square of its length."""
+    compared = []
+    holds = periods._holds
+
+    def noted(words, start, end, period):
+        compared.append(int((end - start).sum()))
+        return holds(words, start, end, period)
+
+    monkeypatch.setattr(periods, "_holds", noted)
+    words = list("abcdefg") * 300 + ["x"] + list("abcdefghij") * 20
+    ((runs, _),) = solved([words])
+    assert runs == plain_runs(words)
+    assert sum(compared) < 4 * len(words)
