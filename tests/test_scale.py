@@ -70,3 +70,30 @@ def test_state_of_last_copies_comes_with_the_rows(spark, tmp_path):
     query.awaitTermination()
     assert [r.text for r in store.read().collect()] == ["9"]
     assert query.lastProgress.stateOperators[0].operatorName == "applyInPandasWithState"
+
+
+def test_refreshed_tables_leave_no_copies_of_the_posts(spark, tmp_path, monkeypatch):
+    """Topic, bronze and silver hold every text once more each; they go when the next table is there."""
+    monkeypatch.setattr(queries, "shared_dir", lambda _, purpose: f"{tmp_path}/{purpose}-1")
+    found = queries.QUERIES["merged_hashtags"](spark, SF)
+    (base,) = tmp_path.glob("ingest-*")
+    assert sorted(p.name for p in base.iterdir() if not p.name.startswith("_")) == ["gold"]
+    assert found.count() == queries.QUERIES["trending_hashtags"](spark, SF).count() > 0
+
+
+def test_ingest_tasks_hold_a_bounded_number_of_messages(spark, monkeypatch):
+    """However well the messages are packed; the session's own setting comes back."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    monkeypatch.setattr(queries, "INGEST_TASK_MESSAGES", 100)
+    monkeypatch.setattr(samples, "TASK_MESSAGES", 100)
+    tasks = []
+    started = queries.silver_stream
+
+    def noted(rows, *args, **kwargs):
+        tasks.append(len(rows.sparkSession.read.parquet(args[0].replace("silver", "bronze")).inputFiles()))
+        return started(rows, *args, **kwargs)
+
+    monkeypatch.setattr(queries, "silver_stream", noted)
+    queries._run_ingest(spark, SF)
+    assert tasks[0] >= spark.read.parquet(f"{SF}/events.parquet").count() // 200
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
