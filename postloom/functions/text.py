@@ -1,9 +1,11 @@
-"""Text cleaning and stop words as native expressions."""
+"""Text cleaning and stop words: as native expressions, and both at once in Arrow batches for whole posts."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,10 @@ NOT_LETTERS = r"[\x21-\x40\x5b-\x60\x7b-\x7e\x80-\x{10ffff}]+"
 # Java's \s does not hold the four separators \x1c-\x1f.
 ANY_BLANKS = r"[\s\x1c-\x1f]+"
 LONE_LETTER = r"\b[a-zA-Z]\b"
+# Escapes that arrived as two characters, in this order; a real tab or newline is an ordinary blank.
+ESCAPES = (("\\t", " "), ("\\n", " "), ("\\u", ""), ("\\", ""))
+# MARKS_AND_LINKS for Python: there is no \G, but only a mark with an underscore behind it ends where a link may begin.
+PYTHON_MARKS_AND_LINKS = MARKS + r"(?:_\w*+://[^\s\x1c-\x1f]+)?|(?<!\w)\w++://[^\s\x1c-\x1f]+|https?://"
 
 
 def clean_text(text: Column) -> Column:
@@ -28,8 +34,7 @@ def clean_text(text: Column) -> Column:
     """
     lowered = F.lower(F.coalesce(text, F.lit("")))
     out = lowered
-    # Escapes that arrived as two characters; a real tab or newline is an ordinary blank.
-    for escape, instead in (("\\t", " "), ("\\n", " "), ("\\u", ""), ("\\", "")):
+    for escape, instead in ESCAPES:
         out = F.replace(out, F.lit(escape), F.lit(instead))
     # Most texts hold none, and finding that out is cheap.
     out = F.when(F.contains(text, F.lit("\\")), out).otherwise(lowered)
@@ -52,3 +57,44 @@ def remove_stop_words(cleaned: Column, stop_words: Iterable[str]) -> Column:
         return F.coalesce(cleaned, F.lit(""))
     kept = F.filter(F.split(F.coalesce(cleaned, F.lit("")), " "), lambda word: ~word.isin(words))
     return F.array_join(kept, " ")
+
+
+def cleaned_texts(text: Column, stop_words: Iterable[str]) -> Column:
+    """``struct<cleaned_text, stopword_text>``: :func:`clean_text`, and :func:`remove_stop_words` of it, in one pass.
+
+    The expressions above go over a text once for each rule and once more for its words; here bytes
+    are deleted by a table and words split once, in a fraction of the time.
+    """
+    stop = {word.encode() for word in stop_words}
+    # Local names only: executors run this without a copy of the package.
+    marks, marks_and_links, escapes = re.compile(MARKS), re.compile(PYTHON_MARKS_AND_LINKS, re.ASCII), ESCAPES
+    blanks = bytes([*range(9, 14), *range(28, 32)])
+    to_blank = bytes.maketrans(blanks, b" " * len(blanks))
+    not_letters = bytes([*range(0x21, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)])
+    no_controls = bytes(range(0x20, 0x7F))
+    lone_letter = re.compile(rb"\b[a-zA-Z]\b")
+
+    def words_of(text: str) -> list[bytes]:
+        """The cleaned text, split at every blank."""
+        lowered = text.lower()
+        if "\\" in lowered:
+            for escape, instead in escapes:
+                lowered = lowered.replace(escape, instead)
+        lowered = (marks_and_links if "://" in lowered else marks).sub(" ", lowered)
+        letters = lowered.encode("ascii", "ignore").translate(to_blank, not_letters)
+        if letters.translate(None, no_controls):
+            return lone_letter.sub(b"", b" ".join(letters.split())).split(b" ")
+        return [word if len(word) > 1 else b"" for word in letters.split()] or [b""]
+
+    @F.arrow_udf("cleaned_text string, stopword_text string")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            cleaned, kept = [], []
+            for value in texts:
+                words = words_of(value.as_py() or "")
+                cleaned.append(b" ".join(words))
+                kept.append(b" ".join([word for word in words if word not in stop]) if stop else cleaned[-1])
+            columns = [pa.array(found, pa.binary()).cast(pa.string()) for found in (cleaned, kept)]
+            yield pa.StructArray.from_arrays(columns, ["cleaned_text", "stopword_text"])
+
+    return both(text)

@@ -7,11 +7,11 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postloom.functions.text import clean_text, remove_stop_words
+from postloom.functions.text import cleaned_texts
 
 
 def nlp_preprocessed(posts: DataFrame, stop_words: Iterable[str]) -> DataFrame:
-    """Original, cleaned and stop-word-free text of every post. One stage, no Python worker."""
+    """Original, cleaned and stop-word-free text of every post. One stage; texts are cleaned in Arrow batches."""
     return posts.select(
         "tweet_id",
         "keyword",
@@ -20,7 +20,7 @@ def nlp_preprocessed(posts: DataFrame, stop_words: Iterable[str]) -> DataFrame:
         "created_at",
         "created_date",
         F.col("text").alias("original_text"),
-        clean_text(F.col("text")).alias("cleaned_text"),
+        cleaned_texts(F.col("text"), stop_words).alias("_texts"),
         "total_engagement",
         "like_count",
         "retweet_count",
@@ -34,8 +34,8 @@ def nlp_preprocessed(posts: DataFrame, stop_words: Iterable[str]) -> DataFrame:
         "created_at",
         "created_date",
         "original_text",
-        "cleaned_text",
-        remove_stop_words(F.col("cleaned_text"), stop_words).alias("stopword_text"),
+        "_texts.cleaned_text",
+        "_texts.stopword_text",
         "total_engagement",
         "like_count",
         "retweet_count",
