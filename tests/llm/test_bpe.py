@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -71,3 +72,10 @@ def test_long_words_merge_alike(ranks, library):
         for letters in ("a", "ab", "etaoin", "thereinga"):
             word = "".join(rng.choice(letters) for _ in range(n))
             assert bpe.merge_long(word.encode(), ranks) == library.encode_ordinary(word)
+
+
+def test_shared_words_are_sent_as_one_array(spark):
+    """The driver holds no object for each of them."""
+    texts = spark.createDataFrame([("some words",), ("some more words",)], "text string").repartition(2)
+    words, first, flat = bpe.head_words(texts, P.PATTERN, bpe.QUICK_PATTERN, lambda value: value)
+    assert isinstance(words, pa.Array) and len(words) == len(first) - 1 and first[-1] == len(flat)
