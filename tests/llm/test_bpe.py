@@ -79,3 +79,13 @@ def test_shared_words_are_sent_as_one_array(spark):
     texts = spark.createDataFrame([("some words",), ("some more words",)], "text string").repartition(2)
     words, first, flat = bpe.head_words(texts, P.PATTERN, bpe.QUICK_PATTERN, lambda value: value)
     assert isinstance(words, pa.Array) and len(words) == len(first) - 1 and first[-1] == len(flat)
+
+
+def test_tables_of_the_rank_map_follow_its_size():
+    rng = random.Random(1)
+    for n in (0, 1, 50, 40_000):
+        entries = {rng.randrange(1 << 36): rng.randrange(1 << 16) for _ in range(n)}
+        tables = bpe.placed(entries)
+        assert sum(map(len, tables)) < 2.5 * n + 600
+        for key, value in entries.items():
+            assert key * bpe.ID_SPACE + value in (tables[0][key % len(tables[0])], tables[1][key % len(tables[1])])
