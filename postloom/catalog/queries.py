@@ -137,7 +137,8 @@ def repeated_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["keyword", "tweet_id", "type", "text", "like_count", "kafka_timestamp", "kafka_offset"]
-    return dedupe.dedupe_posts(repeated_posts(spark, sf_dir)).select(columns)
+    posts = repeated_posts(spark, sf_dir).select(*columns, "kafka_partition")
+    return dedupe.dedupe_stored_posts(posts).select(columns)
 
 
 def hot_posts_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from datetime import date, datetime
 
 from post_rows import make_posts
 from postloom.catalog import queries
+from postloom.operators.dedupe import dedupe_posts, dedupe_stored_posts
 from postloom.operators.scoring import score_lexicon
 from postloom.schemas import SILVER_SCHEMA
 from postloom.sinks.keyed_store import KeyedStore
@@ -97,3 +98,19 @@ def test_ingest_tasks_hold_a_bounded_number_of_messages(spark, monkeypatch):
     queries._run_ingest(spark, SF)
     assert tasks[0] >= spark.read.parquet(f"{SF}/events.parquet").count() // 200
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_repeated_posts_are_deduped_without_a_shuffle_of_texts(spark, tmp_path):
+    at = [datetime(2024, 1, 1, 0, minute) for minute in range(3)]
+    rows = [
+        {"keyword": word, "tweet_id": key, "text": f"{n} {i}", "kafka_timestamp": at[(n + i) % 3], "kafka_offset": i, "kafka_partition": 0}
+        for i, (word, key) in enumerate([("a", "1"), (None, "1"), ("b", "2"), ("b", "2"), ("b", ""), (None, None), ("c", "3")] * 40)
+        for n in range(2)
+    ]
+    posts = make_posts(spark, rows).repartition(7)
+    found = dedupe_stored_posts(posts)
+    assert sorted(map(str, found.collect())) == sorted(map(str, dedupe_posts(posts).collect()))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "Sort" not in plan
+    plan = queries.QUERIES["dedupe_latest"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "Sort" not in plan
