@@ -114,3 +114,25 @@ def test_repeated_posts_are_deduped_without_a_shuffle_of_texts(spark, tmp_path):
     assert "hashpartitioning" not in plan and "Sort" not in plan
     plan = queries.QUERIES["dedupe_latest"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" not in plan and "Sort" not in plan
+
+
+def test_objects_of_a_page_are_made_in_one_partition(spark):
+    """Only events and one copy of a document for each part are shuffled, never whole objects."""
+    plan = samples.api_pages(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.splitlines() if " Exchange " in line]
+    assert "shufflepartitionidpassthrough" in shuffles[0] and "ObjectHashAggregate" in plan.split(" Exchange ")[0]
+
+
+def test_grouped_rows_are_those_of_the_join(spark, tmp_path):
+    """Documents and events that repeat or have no key included."""
+    docs = [(0, "x", "en"), (0, "y", None), (2, None, "de"), (None, "z", "fr"), (3, "w", "en"), (3, "w", "en"), (9, "v", "en")]
+    spark.createDataFrame(docs, "doc_id bigint, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    events = [(n, datetime(2024, 1, 1), n % 5, "click" if n % 3 else None, float(n)) for n in [*range(60), 7, 7]]
+    events.append((None, datetime(2024, 1, 1), 1, "view", 1.0))
+    spark.createDataFrame(events, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double").write.parquet(
+        str(tmp_path / "events.parquet")
+    )
+    plain = samples.post_fields(spark, str(tmp_path))
+    grouped = samples.post_fields(spark, str(tmp_path), F.floor(F.col("event_id") / 20))
+    assert grouped.select("event_id", "_part").distinct().groupBy("event_id").count().filter("count > 1").count() == 0
+    assert sorted(map(str, grouped.drop("_part").collect())) == sorted(map(str, plain.collect())) and plain.count() == 49
