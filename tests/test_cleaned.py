@@ -32,3 +32,15 @@ def test_posts_are_cleaned_once_without_patterns(spark):
     assert [(r.cleaned_text, r.stopword_text) for r in nlp.orderBy(F.desc("original_text")).collect()] == [("the hill", "hill"), ("", "")]
     plan = nlp._jdf.queryExecution().executedPlan().toString()
     assert "regexp_replace" not in plan and plan.count("ArrowEvalPython") == 1
+
+
+def test_texts_cleaned_together_are_as_if_alone(spark):
+    """Texts without control characters go many at a time, and borders between them show nowhere."""
+    rng = random.Random(5)
+    shown = [p for p in PIECES if p == "\t" or p == "\n" or all(c >= " " and c != "\x7f" for c in p)] + ["wordwordword", "on", "http://x.y/z ", "@a_://b"]
+    texts = ["".join(rng.choices(shown, k=rng.randrange(14))) for _ in range(6_000)]
+    df = spark.createDataFrame([(t,) for t in [None, "", " ", "http://", "#", "_http://", *texts]], "text string").coalesce(1)
+    for stop in (STOP, [], ["", "a", "on"], ["wordwordword", "x" * 9]):
+        own = df.select("text", cleaned_texts(F.col("text"), stop).alias("t")).select("text", "t.*")
+        both = own.select("*", clean_text(F.col("text")).alias("c")).select("*", remove_stop_words(F.col("c"), stop).alias("s"))
+        assert both.filter(~F.col("cleaned_text").eqNullSafe(F.col("c")) | ~F.col("stopword_text").eqNullSafe(F.col("s"))).take(3) == []
