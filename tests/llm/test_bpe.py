@@ -89,3 +89,23 @@ def test_tables_of_the_rank_map_follow_its_size():
         assert sum(map(len, tables)) < 2.5 * n + 600
         for key, value in entries.items():
             assert key * bpe.ID_SPACE + value in (tables[0][key % len(tables[0])], tables[1][key % len(tables[1])])
+
+
+def test_folded_words_merge_alike(ranks, library, monkeypatch):
+    """Many words at once, of all lengths, some empty, over several chunks."""
+    monkeypatch.setattr(bpe, "FOLD_CHUNK", 1000)
+    rng = random.Random(6)
+    words = ["".join(rng.choice(letters) for _ in range(rng.randrange(130))) for letters in ("a", "ab", "etaoin", "thereinga", "é日 .1\x00") for _ in range(80)]
+    listed = [w.encode()[: bpe.FOLD_BYTES] for w in words]
+    sizes = np.array([len(w) for w in listed])
+    flat, first, size = bpe.fold_words(np.frombuffer(b"".join(listed), dtype=np.uint8), sizes, bpe.rank_map(ranks))
+    for word, at, n in zip(listed, first, size, strict=True):
+        assert flat[at : at + n].tolist() == (bpe.merge_long(word, ranks) if word else [])
+    assert [len(x) for x in bpe.fold_words(np.zeros(0, dtype=np.uint8), np.zeros(0, dtype=int), bpe.rank_map(ranks))] == [0, 0, 0]
+
+
+def test_the_plan_holds_no_rank_map(spark, ranks):
+    """The driver's plans stay small: a literal map stands in each of them many times over."""
+    docs = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
+    plan = bpe.encode(docs, ranks, P.PATTERN, bpe.QUICK_PATTERN)._jdf.queryExecution().toString()
+    assert len(plan) < 20_000
