@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from postloom.llm.components import connected_components, local_components
 from postloom.llm.tables import stored
+from postloom.operators.dedupe import PLACE, at_places, stored_with_places
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -305,9 +306,13 @@ def copy_links(reps: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_copies_of_tries(most_apart(similarity)), "a bigint, b bigint")
 
 
-def near_copies(docs: DataFrame, similarity: float = SIMILARITY, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def near_copies(
+    docs: DataFrame, similarity: float = SIMILARITY, id_column: str = "doc_id", text_column: str = "text", also: Sequence[str] = ()
+) -> DataFrame:
     """``(id, component)`` for every row: the smallest id reachable by steps of similar sets of five-word shingles.
 
+    Columns ``also`` of ``docs`` come along.
+
     The similarity is judged by the bits in which wide fingerprints differ, so near the threshold some
     pairs fall on the other side. Nulls, empty texts, repeated rows and tables are as in ``near_duplicates``.
     """
@@ -315,16 +320,18 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, id_column: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wide = np.array([wide_fingerprint(t.as_py()) for t in batch.column(1)], dtype=np.uint64).reshape(-1, WIDE).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(w.copy()) for w in wide.T)], ["id", *words])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], *(pa.array(w.copy()) for w in wide.T)], ["id", *also, *words])
 
     words = [f"w{i}" for i in range(WIDE)]
-    rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).cast("string").alias("text"))
-    fps = stored(rows.mapInArrow(run, "id bigint, " + ", ".join(f"{w} bigint" for w in words)), "wide-fingerprints")
+    rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).cast("string").alias("text"), *also)
+    kinds = [f"{c} {docs.schema[c].dataType.simpleString()}" for c in also]
+    schema = ", ".join(["id bigint", *kinds, *(f"{w} bigint" for w in words)])
+    fps = stored(rows.mapInArrow(run, schema), "wide-fingerprints")
     reps = stored(fps.groupBy(*words).agg(F.min("id").alias("rep")).filter("rep IS NOT NULL"), "representatives")
     # A link's ends are ids; a repeated id with two texts joins them, as its rows are one document.
     found = connected_components(copy_links(reps, similarity))
     classes = reps.join(found, F.col("rep") == F.col("node"), "left").select(*words, F.coalesce("component", "rep").alias("component"))
-    return fps.join(classes, words, "left").select("id", "component")
+    return fps.join(classes, words, "left").select("id", "component", *also)
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -347,11 +354,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` with one row of each group of ``near_copies``: the one with the smallest id.
 
-    Rows that repeat an id are one row. Rows with a null id can't be told apart, and all stay.
+    Rows that repeat an id are one row. Rows with a null id can't be told apart, and all stay. Rows are
+    written once and their places are dealt with, so no text is shuffled.
     """
-    found = stored(near_copies(docs, SIMILARITY, id_column, text_column), "near-duplicates")
-    later = found.filter("id <> component").select(F.col("id").alias(id_column)).distinct()
-    kept = docs.join(later, id_column, "left_anti").select(docs.columns)
-    if found.filter("id IS NOT NULL").groupBy("id").count().filter("count > 1").isEmpty():
-        return kept
-    return kept.filter(F.col(id_column).isNotNull()).dropDuplicates([id_column]).union(kept.filter(F.col(id_column).isNull()))
+    rows = stored_with_places(docs, "llm-documents")
+    found = stored(near_copies(rows, SIMILARITY, id_column, text_column, PLACE), "near-duplicates")
+    place = F.struct(*PLACE)
+    of_id = found.filter("id IS NOT NULL").groupBy("id").agg(F.max(F.col("id") != F.col("component")).alias("later"), F.min(place).alias("place"))
+    kept = of_id.filter("later IS NOT TRUE").select("place.*").union(found.filter("id IS NULL").select(PLACE))
+    return at_places(rows, kept, "llm-kept").select(docs.columns)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 import numpy as np
@@ -137,3 +138,17 @@ def test_near_copies_edge_cases(spark):
     got = {(r.id, r.component) for r in simhash.near_copies(docs).collect()}
     assert got == {(0, 0), (1, 0), (2, 0), (3, 3), (4, 3), (5, 5), (6, 6), (7, 6), (8, 8), (None, 3), (None, None)}
     assert simhash.near_copies(docs.limit(0)).collect() == []
+
+
+def test_texts_are_not_shuffled_to_drop_copies(spark, conf):
+    """What is looked up beside the texts is a bit for a row, not its id, so that it stays small where ids don't."""
+    rng = random.Random(8)
+    ids = rng.sample(range(1 << 60), 2000)
+    words = [str(rng.random()) for _ in ids]
+    rows = [(i, w + f" of {i} " + w[::-1] + " and more words") for i, w in zip(ids, words, strict=True)]
+    rows += [(i + (1 << 61), text) for i, text in rows[:1000]]
+    conf(spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="15000")
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert {tuple(r) for r in kept.collect()} == set(rows[:2000])
