@@ -12,6 +12,7 @@ from postloom.operators.scoring import score_model
 from postloom.plans import gold
 from postloom.plans.bucketed import bucketed_threads, write_thread_tables
 from postloom.sinks.keyed_store import KeyedStore
+from postloom.sinks.routing import routed, write_routed
 from postloom.sinks.zorder import interleaved, write_zordered
 from postloom.sources.api_objects import flatten_variant_objects, variant_objects
 from pyspark.sql import functions as F
@@ -108,3 +109,22 @@ def test_keyed_store_reads_and_folds_given_buckets(spark, tmp_path):
     assert [tuple(r) for r in found.collect()] == [(3, "c")]
     plan = store.read([1])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_bucket" in plan or "(_bucket" in plan.partition("PartitionFilters")[2]
+
+
+def test_posts_are_routed_without_a_shuffle(spark, tmp_path):
+    """Each task writes its own posts; dealing an index to a number of files is the caller's choice."""
+    days = [date(2024, 1, 1), date(2024, 1, 2), None]
+    posts = make_posts(spark, [{"tweet_id": str(i), "text": f"text {i}", "created_date": days[i % 3]} for i in range(90)])
+    posts = posts.repartition(5).withColumn("keyword", F.spark_partition_id().cast("string"))
+    posts.write.parquet(str(tmp_path / "posts"))
+    posts = spark.read.schema(posts.schema).parquet(str(tmp_path / "posts")).repartition(5, "keyword")
+    want = sorted(map(str, routed(posts).collect()))
+    for name, files in (("plain", None), ("dealt", 2)):
+        write_routed(posts, str(tmp_path / name), files_per_index=files)
+        read = spark.read.schema(routed(posts).schema).parquet(str(tmp_path / name))
+        assert sorted(map(str, read.collect())) == want
+        tasks = read.groupBy(F.input_file_name()).agg(F.count_distinct(F.pmod(F.hash("keyword"), F.lit(5))).alias("n")).collect()
+        if files:
+            assert max(len(list(d.glob("*.parquet"))) for d in (tmp_path / name).glob("_index=*")) <= files
+        else:
+            assert {r.n for r in tasks} == {1}
