@@ -13,6 +13,7 @@ from postloom.plans import gold
 from postloom.plans.bucketed import bucketed_threads, write_thread_tables
 from postloom.sinks.keyed_store import KeyedStore
 from postloom.sinks.routing import routed, write_routed
+from postloom.sinks import zorder
 from postloom.sinks.zorder import interleaved, write_zordered
 from postloom.sources.api_objects import flatten_variant_objects, variant_objects
 from pyspark.sql import functions as F
@@ -128,3 +129,24 @@ def test_posts_are_routed_without_a_shuffle(spark, tmp_path):
             assert max(len(list(d.glob("*.parquet"))) for d in (tmp_path / name).glob("_index=*")) <= files
         else:
             assert {r.n for r in tasks} == {1}
+
+
+def test_zorder_reads_twice_and_bounds_its_files(spark, tmp_path, monkeypatch):
+    """Rows are made once to count them and once to write them; equal values, nulls and repeated rows fill no file beyond the bound."""
+    monkeypatch.setattr(zorder, "FILE_ROWS", 100)
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    rows = [(i % 3 and "hot", date(2024, 1, 1 + i % 28) if i % 7 else None, f"text {i // 2}", ["x", None]) for i in range(1_200)]
+    df = spark.createDataFrame([(str(a) if a else None, *r) for a, *r in rows], "keyword string, day date, text string, tags array<string>")
+    written = write_zordered(df.mapInArrow(counted, df.schema), str(tmp_path / "z"), ["day", "keyword"], files=2)
+    assert made.value == 2 * 1_200
+    assert sorted(map(str, written.collect())) == sorted(map(str, df.collect()))
+    sizes = [r["count"] for r in written.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) >= 10 and max(sizes) <= 200
+    empty = write_zordered(df.filter("false"), str(tmp_path / "none"), ["day", "keyword"], files=2)
+    assert empty.count() == 0
