@@ -22,7 +22,7 @@ from postloom.plans.nlp import nlp_preprocessed
 from postloom.plans.silver import parsed_posts, silver
 from postloom.plans.tables import build_tables, gold_tables, laid_out, shown, shown_order
 from postloom.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
-from postloom.session import STORED, prepare, remove_dir, shared_dir, splits_of_at_most, stored_bytes
+from postloom.session import STORED, move_files, prepare, remove_dir, shared_dir, splits_of_at_most, stored_bytes
 from postloom.sinks.keyed_store import KeyedStore
 from postloom.sinks.routing import routed, write_routed
 from postloom.sinks.topic import topic_rows
@@ -532,22 +532,31 @@ AUDIT_BATCHES = 4
 
 
 def ingest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Audit rows of a silver stream in four batches, dealt by message number."""
+    """Audit rows of a silver stream in four batches, dealt by message number.
+
+    Messages are made and written once; a batch's files go into bronze when it is their turn, and
+    leave it when silver holds their rows.
+    """
     base = shared_dir(spark, "audit")
-    sent = bronze(messages(spark, sf_dir))
+    sent = bronze(messages(spark, sf_dir)).withColumn("turn", F.col("kafka_offset") % AUDIT_BATCHES).filter("turn >= 0")
+    sent.write.option("compression", STORED).partitionBy("turn").parquet(f"{base}/sent")
+    split = stored_bytes(spark, f"{base}/sent") * INGEST_TASK_MESSAGES // max(1, spark.read.parquet(f"{base}/sent").count())
     listener = AuditListener(spark, f"{base}/audit")
     spark.streams.addListener(listener)
     try:
         for number in range(AUDIT_BATCHES):  # the stream goes on with what came since it ended, as one batch
-            part = sent.filter(F.col("kafka_offset") % AUDIT_BATCHES == number)
-            part.write.mode("append").option("compression", STORED).parquet(f"{base}/bronze")
+            if not move_files(spark, f"{base}/sent/turn={number}", f"{base}/bronze", f"part-{number}-"):
+                spark.createDataFrame([], BRONZE_SCHEMA).write.mode("append").parquet(f"{base}/bronze")  # a batch of no rows
             rows = read_table_stream(spark, f"{base}/bronze", BRONZE_SCHEMA)
-            query = silver_stream(rows, f"{base}/silver", f"{base}/_silver", available_now=True)
-            query.awaitTermination()
+            with splits_of_at_most(spark, split):
+                query = silver_stream(rows, f"{base}/silver", f"{base}/_silver", available_now=True)
+                query.awaitTermination()
             if not listener.wait_for(query):
                 raise TimeoutError("the stream's audit rows are not complete")
+            remove_dir(spark, f"{base}/bronze")
     finally:
         spark.streams.removeListener(listener)
+    remove_dir(spark, f"{base}/silver")
     return read_audit(spark, f"{base}/audit").drop("query", "started")
 
 

@@ -3,11 +3,13 @@ from __future__ import annotations
 import json
 
 from post_rows import make_bronze
+from postloom.catalog import queries
 from postloom.catalog.queries import silver_posts
 from postloom.operators.dedupe import dedupe_posts_stream
 from postloom.plans import gold
 from postloom.plans.tables import build_silver, build_tables, gold_tables, shown, text_tables
 from postloom.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
+from postloom.session import move_files
 from postloom.sinks.keyed_store import KeyedStore
 from postloom.sources.samples import LEXICON, messages
 from postloom.sources.tables import read_table, read_table_stream
@@ -210,3 +212,34 @@ def test_topic_options():
     assert secured["kafka.security.protocol"] == "SASL_SSL"
     assert 'username="u" password="p"' in secured["kafka.sasl.jaas.config"]
     assert secured["maxOffsetsPerTrigger"] == "50000"
+
+
+def test_audit_leaves_no_copies_of_the_posts(spark, sf_dir, tmp_path, monkeypatch):
+    """Messages are made once for all batches, and their files go when silver holds the rows."""
+    made = []
+    sent = queries.messages
+    counted = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            counted.add(batch.num_rows)
+            yield batch
+
+    def noted(*args):
+        made.append(sent(*args))
+        return made[-1].mapInArrow(counting, made[-1].schema)
+
+    monkeypatch.setattr(queries, "messages", noted)
+    monkeypatch.setattr(queries, "shared_dir", lambda *_: f"{tmp_path}/audit-1")
+    found = queries.QUERIES["ingest_audit"](spark, sf_dir).collect()
+    assert len(found) == queries.AUDIT_BATCHES and sum(r.rows_in for r in found) == counted.value == made[0].count()
+    assert sorted(p.name for p in (tmp_path / "audit-1").iterdir() if not p.name.startswith("_")) == ["audit", "sent"]
+
+
+def test_files_of_several_folders_keep_apart(spark, tmp_path):
+    for folder in ("a", "b"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "part-0").write_text(folder)
+        assert move_files(spark, str(tmp_path / folder), str(tmp_path / "all"), f"{folder}-") == 1
+    assert move_files(spark, str(tmp_path / "none"), str(tmp_path / "all"), "") == 0
+    assert {p.name: p.read_text() for p in (tmp_path / "all").iterdir() if p.suffix != ".crc"} == {"a-part-0": "a", "b-part-0": "b"}
