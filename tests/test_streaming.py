@@ -1,8 +1,9 @@
 from __future__ import annotations
 
 import json
+from datetime import date
 
-from post_rows import make_bronze
+from post_rows import make_bronze, make_posts
 from postloom.catalog import queries
 from postloom.catalog.queries import silver_posts
 from postloom.operators.dedupe import dedupe_posts_stream
@@ -14,6 +15,7 @@ from postloom.sinks.keyed_store import KeyedStore
 from postloom.sources.samples import LEXICON, messages
 from postloom.sources.tables import read_table, read_table_stream
 from postloom.sources.topic import read_stored_topic, topic_options
+from postloom.streaming import refresh
 from postloom.streaming.ingest import (
     RULE_METRICS,
     audited_silver_stream,
@@ -243,3 +245,27 @@ def test_files_of_several_folders_keep_apart(spark, tmp_path):
         assert move_files(spark, str(tmp_path / folder), str(tmp_path / "all"), f"{folder}-") == 1
     assert move_files(spark, str(tmp_path / "none"), str(tmp_path / "all"), "") == 0
     assert {p.name: p.read_text() for p in (tmp_path / "all").iterdir() if p.suffix != ".crc"} == {"a-part-0": "a", "b-part-0": "b"}
+
+
+def test_threads_of_days_shuffle_whole_posts_once(spark, tmp_path, monkeypatch):
+    """The join leaves posts dealt by day; ids that repeat, ids on two days, and missing ids and days included."""
+    monkeypatch.setattr(refresh, "SLICE_POSTS", 4)
+    days = [date(2024, 1, 1), date(2024, 1, 2), None]
+    tweets = make_posts(
+        spark,
+        [{"type": "tweet", "tweet_id": str(i % 25) if i != 7 else None, "text": f"t{i}", "created_date": days[i % 3], "total_engagement": i} for i in range(40)],
+    )
+    answers = [
+        {"type": "reply", "tweet_id": f"r{i}", "root_tweet_id": str(i % 33) if i % 9 else None, "username": ["a", "b", None][i % 3], "total_engagement": i}
+        for i in range(200)
+    ]
+    replies = gold.replies_per_root(make_posts(spark, answers))
+    found = gold.threads_of(tweets, replies, refresh._joined_by_day)
+    assert sorted(map(str, found.collect())) == sorted(map(str, gold.threads_of(tweets, replies).collect()))
+    refresh._replace("conversation_threads", found, str(tmp_path), dealt=True)
+    folders = [*(tmp_path / "conversation_threads").glob("created_date=*")]
+    assert len(folders) == 3 and max(len([*f.glob("*.parquet")]) for f in folders) <= 4
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("shufflepartitionidpassthrough") == 1 and "SortMergeJoin" not in plan.split("shufflepartitionidpassthrough")[0]
+    none = gold.threads_of(tweets.filter("false"), replies, refresh._joined_by_day)
+    assert none.count() == 0
