@@ -6,6 +6,7 @@ from datetime import date
 from post_rows import make_bronze, make_posts
 from postloom.catalog import queries
 from postloom.catalog.queries import silver_posts
+from postloom.operators import joins
 from postloom.operators.dedupe import dedupe_posts_stream
 from postloom.plans import gold
 from postloom.plans.tables import build_silver, build_tables, gold_tables, shown, text_tables
@@ -249,7 +250,7 @@ def test_files_of_several_folders_keep_apart(spark, tmp_path):
 
 def test_threads_of_days_shuffle_whole_posts_once(spark, tmp_path, monkeypatch):
     """The join leaves posts dealt by day; ids that repeat, ids on two days, and missing ids and days included."""
-    monkeypatch.setattr(refresh, "SLICE_POSTS", 4)
+    monkeypatch.setattr(joins, "SLICE_ROWS", 4)
     days = [date(2024, 1, 1), date(2024, 1, 2), None]
     tweets = make_posts(
         spark,
